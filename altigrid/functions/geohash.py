@@ -1,33 +1,34 @@
 """Geohash keys as plain column arithmetic (no UDF).
 
-A geohash character holds five bits that alternate between the axes. Even
-characters (from 0) take three longitude bits and two latitude bits, odd ones
-the reverse, so each character is one look-up in the alphabet laid out by
-``(three-bit chunk) * 4 + (two-bit chunk)``. Characters thus come straight
-from the two axis integers and the interleaved code is never built.
+A geohash is a number in base 32 whose bits alternate between the axes, the
+first one longitude. Two characters hold five bits of each axis, so a pair of
+characters is one look-up in a table of 1,024 pairs at ``lon * 32 + lat``: the
+interleaved number itself is never built.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed value: the public base-32 alphabet of geohash.
+# The public base-32 alphabet of geohash, and the digits that
+# number conversion uses in the same base.
 ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
+DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
 TILE_KEY_LENGTH = 8
 CITY_KEY_LENGTH = 10
 POINT_KEY_LENGTH = 6
+MAX_LENGTH = 12
 
 
-def _chunk_alphabet() -> str:
-    def weave(three: int, two: int) -> int:
-        b2, b1, b0 = three >> 2 & 1, three >> 1 & 1, three & 1
-        return b2 << 4 | (two >> 1) << 3 | b1 << 2 | (two & 1) << 1 | b0
+def _weave(lon: int, lat: int) -> int:
+    return sum((lon >> k & 1) << 2 * k + 1 | (lat >> k & 1) << 2 * k for k in range(5))
 
-    return "".join(ALPHABET[weave(i >> 2, i & 3)] for i in range(32))
 
-
-_BY_CHUNK = _chunk_alphabet()
+# Interleaved value of each (lon, lat), in the order lon * 32 + lat.
+_WOVEN = [_weave(lon, lat) for lon in range(32) for lat in range(32)]
+_PAIRS = " ".join(ALPHABET[code >> 5] + ALPHABET[code & 31] for code in _WOVEN)
+_UNPAIRS = " ".join(str(at) for at in sorted(range(1024), key=_WOVEN.__getitem__))
 
 
 def _axis_bits(length: int) -> tuple[int, int]:
@@ -36,37 +37,31 @@ def _axis_bits(length: int) -> tuple[int, int]:
     return bits - bits // 2, bits // 2
 
 
-def _chars(length: int):
-    """Per character: (longitude leads, remaining lon bits, remaining lat bits)."""
-    lon_left, lat_left = _axis_bits(length)
-    for i in range(length):
-        lon_leads = i % 2 == 0
-        lon_left -= 3 if lon_leads else 2
-        lat_left -= 2 if lon_leads else 3
-        yield lon_leads, lon_left, lat_left
-
-
 def geohash_of_bits(lon_bits: Column, lat_bits: Column, length: int) -> Column:
-    """Key from the axis integers (BIGINT, most significant bit first)."""
+    """Key of even length from the axis integers of ``5 * length / 2`` bits each."""
+    pairs = F.split(F.lit(_PAIRS), " ")  # folds to one constant array
     out = []
-    for lon_leads, lon_shift, lat_shift in _chars(length):
-        lon_part = F.shiftright(lon_bits, lon_shift)
-        lat_part = F.shiftright(lat_bits, lat_shift)
-        three, two = (lon_part, lat_part) if lon_leads else (lat_part, lon_part)
-        at = F.shiftleft(three.bitwiseAND(F.lit(7)), 2) + two.bitwiseAND(F.lit(3))
-        out.append(F.substring(F.lit(_BY_CHUNK), at.cast("int") + 1, F.lit(1)))
+    for left in range(5 * (length // 2 - 1), -1, -5):
+        lon = F.shiftright(lon_bits, left).bitwiseAND(F.lit(31))
+        lat = F.shiftright(lat_bits, left).bitwiseAND(F.lit(31))
+        out.append(F.get(pairs, (F.shiftleft(lon, 5) + lat).cast("int")))
     return F.concat(*out)
 
 
 def geohash(lat: Column, lon: Column, length: int) -> Column:
     """Geohash of a coordinate, 1 to 12 characters."""
-    if not 1 <= length <= 12:
-        raise ValueError("geohash length must be 1..12")
-    nlon, nlat = _axis_bits(length)
-    lon_bits = F.floor((lon + F.lit(180.0)) * F.lit(float(2**nlon)) / F.lit(360.0))
-    lat_bits = F.floor((lat + F.lit(90.0)) * F.lit(float(2**nlat)) / F.lit(180.0))
-    top = lambda v, n: F.least(v, F.lit(2**n - 1).cast("bigint"))
-    return geohash_of_bits(top(lon_bits, nlon), top(lat_bits, nlat), length)
+    if not 1 <= length <= MAX_LENGTH:
+        raise ValueError(f"geohash length must be 1..{MAX_LENGTH}")
+    if length % 2:
+        # A shorter key is a prefix of the longer one.
+        return F.substring(geohash(lat, lon, length + 1), 1, length)
+    cells = 2 ** (5 * length // 2)
+
+    def axis(deg: Column, origin: float, turn: float) -> Column:
+        at = F.floor((deg + F.lit(origin)) * F.lit(float(cells)) / F.lit(turn))
+        return F.least(at, F.lit(cells - 1).cast("bigint"))
+
+    return geohash_of_bits(axis(lon, 180.0, 360.0), axis(lat, 90.0, 180.0), length)
 
 
 def tile_geohash(zoom: Column, tile_x: Column, tile_y: Column) -> Column:
@@ -83,17 +78,20 @@ def tile_geohash(zoom: Column, tile_x: Column, tile_y: Column) -> Column:
 def geohash_decode(key: Column, length: int) -> tuple[Column, Column]:
     """Centre coordinate (lat, lon) of a key of known length."""
     nlon, nlat = _axis_bits(length)
+    if length % 2:
+        key = F.concat(key, F.lit("0"))
+    pairs = (length + 1) // 2
+    code = F.conv(F.translate(key, ALPHABET, DIGITS), 32, 10).cast("bigint")
+    table = F.split(F.lit(_UNPAIRS), " ").cast("array<bigint>")  # folds as well
     lon_bits = lat_bits = F.lit(0).cast("bigint")
-    for i, (lon_leads, lon_shift, lat_shift) in enumerate(_chars(length)):
-        at = _position(key, i)
-        three, two = F.shiftright(at, 2), at.bitwiseAND(F.lit(3))
-        lon_part, lat_part = (three, two) if lon_leads else (two, three)
-        lon_bits = lon_bits + F.shiftleft(lon_part.cast("bigint"), lon_shift)
-        lat_bits = lat_bits + F.shiftleft(lat_part.cast("bigint"), lat_shift)
-    lon = (lon_bits.cast("double") + F.lit(0.5)) * F.lit(360.0 / 2**nlon) - F.lit(180.0)
-    lat = (lat_bits.cast("double") + F.lit(0.5)) * F.lit(180.0 / 2**nlat) - F.lit(90.0)
-    return lat, lon
-
-
-def _position(key: Column, i: int) -> Column:
-    return F.instr(F.lit(_BY_CHUNK), F.substring(key, i + 1, 1)) - 1
+    for k in range(pairs):
+        chunk = F.shiftright(code, 10 * k).bitwiseAND(F.lit(1023)).cast("int")
+        axes = F.get(table, chunk)
+        lon_bits = lon_bits + F.shiftleft(F.shiftright(axes, 5), 5 * k)
+        lat_bits = lat_bits + F.shiftleft(axes.bitwiseAND(F.lit(31)), 5 * k)
+
+    def centre(bits: Column, count: int, turn: float, origin: float) -> Column:
+        cell = F.shiftright(bits, 5 * pairs - count).cast("double") + F.lit(0.5)
+        return cell * F.lit(turn / 2**count) - F.lit(origin)
+
+    return centre(lat_bits, nlat, 180.0, 90.0), centre(lon_bits, nlon, 360.0, 180.0)

@@ -63,22 +63,34 @@ def palette_stops(palette: str | Sequence[Stop]) -> list[Stop]:
     return sorted((tuple(s) for s in palette), key=lambda s: s[0])
 
 
-def _rgb(channels) -> Column:
-    return F.struct(*[c.alias(n) for c, n in zip(channels, "rgb")])
+def _constants(values: Sequence[float]) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
 
 
 def colour(value: Column, palette: str | Sequence[Stop]) -> Column:
-    """Struct (r, g, b) in 0..1 at ``value``, held flat beyond both ends."""
+    """Struct (r, g, b) in 0..1 at ``value``, held flat beyond both ends.
+
+    A short chain of comparisons finds the stop to the right; the blend then
+    reads constants at that place, so the code stays small for any ramp.
+    """
     stops = palette_stops(palette)
     if not stops:
-        return _rgb([F.lit(0.0)] * 3)
-    chain = F.when(value.isNull(), None)
-    for left, right in zip([stops[0], *stops], stops):
-        span = left[0] - right[0]
-        share = (value - F.lit(right[0])) / F.lit(span) if span else F.lit(0.0)
-        blend = [F.lit(a - b) * share + F.lit(b) for a, b in zip(left[1:], right[1:])]
-        chain = chain.when(value < F.lit(right[0]), _rgb(blend))
-    return chain.otherwise(_rgb([F.lit(float(c)) for c in stops[-1][1:]]))
+        return F.struct(*[F.lit(0.0).alias(c) for c in "rgb"])
+    # Both ends repeat their stop: the colour is flat outside.
+    right = [*stops, stops[-1]]
+    left = [stops[0], *stops[:-1], stops[-1]]
+    place = F.coalesce(*[F.when(value < F.lit(s[0]), k) for k, s in enumerate(stops)],
+                       F.lit(len(stops)))
+    at = lambda values: F.get(_constants(values), place)
+    span = [a[0] - b[0] for a, b in zip(left, right)]
+    share = (value - at([b[0] for b in right])) / at([d or 1.0 for d in span])
+
+    def channel(c: int) -> Column:
+        # A zero span has equal colours on both sides or is never reached.
+        change = [a[c] - b[c] if d else 0.0 for a, b, d in zip(left, right, span)]
+        return at(change) * share + at([b[c] for b in right])
+
+    return F.struct(*[channel(c).alias(name) for c, name in ((1, "r"), (2, "g"), (3, "b"))])
 
 
 def altitude_share(alt: Column) -> Column:

@@ -1,17 +1,36 @@
-"""Guards that turn text fields into numbers, and numbers into short text."""
+"""Text fields to numbers and numbers to short text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
-# What counts as a whole number and as a decimal number.
+from pyspark.sql import Column, DataFrame, functions as F
+
+# Fixed value: what counts as a whole number.
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
-DECIMAL_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
-def field(line: Column, i: int, sep: str = ",") -> Column:
-    """The i-th separated field, null where the line is too short."""
-    return F.get(F.split(line, sep), F.lit(i))
+def parse_rows(
+    lines: DataFrame, fields: Callable[[Callable[[int], Column]], dict[str, Column]],
+    needed: list[str], keep: list[str] = (), sep: str = ",",
+) -> DataFrame:
+    """Zero or one row per text line.
+
+    ``fields`` gets a function from position to field (null where the line is
+    too short) and returns the columns. Lines with a null in ``needed`` vanish.
+
+    The row is made by a generator and not by a projection with a filter on
+    top: Spark would push such a filter down and parse every line twice.
+    """
+    split = lines.select(*keep, F.split("line", sep).alias("_f"))
+    columns = fields(lambda i: F.get("_f", F.lit(i)))
+    rows = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
+    if needed:
+        whole = lambda row: reduce(and_, [row[name].isNotNull() for name in needed])
+        rows = F.filter(rows, whole)
+    return split.select(*keep, F.inline(rows))
 
 
 def to_integer(text: Column, kind: str = "int") -> Column:
@@ -19,11 +38,6 @@ def to_integer(text: Column, kind: str = "int") -> Column:
     return F.when(text.rlike(INTEGER_PATTERN), text.try_cast(kind))
 
 
-def to_decimal(text: Column) -> Column:
-    """Finite decimal number or null."""
-    return F.when(text.rlike(DECIMAL_PATTERN), text.try_cast("double"))
-
-
 def to_double(text: Column) -> Column:
     """Any double, NaN and infinities included, or null."""
     return text.try_cast("double")
@@ -35,14 +49,7 @@ def significant_text(value: Column, digits: int = 10) -> Column:
     Trailing zeros go; magnitudes below 1e-4 take exponent form. Meant for
     degrees (below 1000).
     """
-    size = F.abs(value)
-    plain = lambda scale: F.regexp_replace(
-        F.round(value, scale).cast("decimal(30,16)").cast("string"), r"\.?0+$", "")
-    out = F.when(size >= 100.0, plain(digits - 3))
-    for exponent in range(1, -5, -1):
-        out = out.when(size >= 10.0**exponent, plain(digits - 1 - exponent))
-    for exponent in range(-5, -13, -1):
-        mantissa = F.round(value * F.lit(10.0**-exponent), digits - 1)
-        text = F.regexp_replace(mantissa.cast("decimal(20,12)").cast("string"), r"\.?0+$", "")
-        out = out.when(size >= 10.0**exponent, F.concat(text, F.lit(f"e-{-exponent:02d}")))
-    return out.otherwise(F.lit("0"))
+    exact = F.format_string(f"%.{digits - 1}e", value)
+    plain = F.regexp_replace(exact.cast("decimal(30,16)").cast("string"), r"\.?0+$", "")
+    tiny = (F.abs(value) < 1e-4) & (value != 0.0)
+    return F.when(tiny, F.regexp_replace(exact, r"\.?0+e", "e")).otherwise(plain)

@@ -43,6 +43,12 @@ def points_upsert(points: DataFrame, order_col: str) -> DataFrame:
     return points.groupBy(key.alias("geohash")).agg(F.max_by(value, order_col).alias("value"))
 
 
+def merge_points(stored: DataFrame, updates: DataFrame) -> DataFrame:
+    """Stored key-value rows with new ones put over them; both have one row per key."""
+    kept = stored.join(updates.select("geohash"), "geohash", "left_anti")
+    return kept.unionByName(updates)
+
+
 def geohash_groups(points: DataFrame, length: int = 8) -> DataFrame:
     """Points per geohash: count, lowest, highest and mean height."""
     key = geohash(F.col("lat"), F.col("lon"), length)

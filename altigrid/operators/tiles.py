@@ -22,6 +22,8 @@ TILE_BYTES = 2 * TILE_PIXELS
 ALTITUDE_SHIFT = 32769
 
 _KEYS = ["zoom", "geohash", "tile_x", "tile_y"]
+# Words that travel together while a tile is packed.
+_RUN = 4
 
 
 def _tile_pixels(pixels: DataFrame, ranged: bool) -> DataFrame:
@@ -42,23 +44,29 @@ def _tile_pixels(pixels: DataFrame, ranged: bool) -> DataFrame:
     return keyed.repartition("zoom", "geohash")
 
 
-def _fill(words: DataFrame, keys: Sequence[str], slots: int, name: str) -> DataFrame:
-    """Concatenate 64-bit words by slot 0..slots-1, zero where a slot has none.
+def _fill(parts: DataFrame, keys: Sequence[str], words: int, name: str) -> DataFrame:
+    """Concatenate 64-bit words 0..words-1 per key, zero where a word is missing.
 
-    ``words``: keys, slot, and ``part``, a word with some of its bits set.
+    ``parts``: keys, ``at``, the index of a word, and ``part``, the word with
+    some of its bits set. Runs of four words are first combined by a primitive
+    aggregate, so that the list per key has a quarter as many entries.
     """
-    whole = words.groupBy(*keys, "slot").agg(F.bit_or("part").alias("word"))
-    cells = whole.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("slot", "word"))).alias("cells"))
-    zeros = lambda n: F.repeat(F.lit("0" * 16), n)
+    lanes = [f"_w{k}" for k in range(_RUN)]
+    lane = F.col("at").bitwiseAND(F.lit(_RUN - 1))
+    runs = parts.groupBy(*keys, F.shiftright("at", 2).alias("run")).agg(
+        *[F.bit_or(F.when(lane == k, F.col("part"))).alias(w) for k, w in enumerate(lanes)])
+    cells = runs.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("run", *lanes))).alias("cells"))
+    zeros = lambda n: F.repeat(F.lit("0" * 16 * _RUN), n)
+    digits = lambda word: F.lpad(F.hex(F.coalesce(word, F.lit(0))), 16, "0")
 
     def piece(cell: Column, i: Column) -> Column:
-        before = F.coalesce(F.get("cells", i - 1)["slot"], F.lit(-1))
-        return F.concat(zeros(cell["slot"] - before - 1), F.lpad(F.hex(cell["word"]), 16, "0"))
+        before = F.coalesce(F.get("cells", i - 1)["run"], F.lit(-1))
+        return F.concat(zeros(cell["run"] - before - 1), *[digits(cell[w]) for w in lanes])
 
     text = F.concat(
         F.array_join(F.transform("cells", piece), ""),
-        zeros(F.lit(slots - 1) - F.element_at("cells", -1)["slot"]),
+        zeros(F.lit(words // _RUN - 1) - F.element_at("cells", -1)["run"]),
     )
     return cells.select(*keys, F.unhex(text).alias(name))
 
@@ -78,13 +86,13 @@ def _into_word(value: Column, place: Column, width: int) -> Column:
 def pack_tiles(pixels: DataFrame, ranged: bool = False) -> DataFrame:
     """Pixels (zoom, gx, gy, alt) to tiles (zoom, geohash, tile_x, tile_y, tile).
 
-    Four vertical neighbours share one 64-bit word, combined by a primitive
-    aggregate, so that the list built per tile has at most 16,384 entries.
+    Four vertical neighbours share one 64-bit word and four words one entry, so
+    the list built per tile has at most 4,096 entries.
     """
     pos = F.col("x") * TILE_SIDE + F.col("y")
     words = _tile_pixels(pixels, ranged).select(
         *_KEYS,
-        F.shiftright(pos, 2).alias("slot"),
+        F.shiftright(pos, 2).alias("at"),
         _into_word(_byte_swapped(F.col("alt")), F.col("y").bitwiseAND(F.lit(3)), 16).alias("part"),
     )
     return _fill(words, _KEYS, TILE_PIXELS // 4, "tile")
@@ -110,7 +118,7 @@ def tile_rgba(pixels: DataFrame, palette: str | Sequence[ramps.Stop] = "gps") ->
     word = byte("red", 24) + byte("green", 16) + byte("blue", 8) + F.col("alpha").cast("bigint")
     words = pixel_colour(placed, palette).select(
         *_KEYS,
-        F.shiftright(at, 1).alias("slot"),
+        F.shiftright(at, 1).alias("at"),
         _into_word(word, at.bitwiseAND(F.lit(1)), 32).alias("part"),
     )
     return _fill(words, _KEYS, TILE_PIXELS // 2, "raster")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from altigrid.functions.text import field, to_decimal, to_integer
+from altigrid.functions.text import parse_rows, to_double, to_integer
 from altigrid.sources.points import COMPAT, STRICT
 
 # Fixed value: header of the cities file.
@@ -17,29 +17,33 @@ def parse_cities(lines: DataFrame, keep_missing: bool = False) -> DataFrame:
     Lines that do not parse vanish: the header, short lines, and cities without
     a population unless ``keep_missing``.
     """
-    line = F.col("line")
-    parsed = lines.select(
-        F.upper(field(line, 0)).alias("country"),
-        field(line, 3).alias("region"),
-        field(line, 2).alias("city"),
-        to_integer(field(line, 4), "bigint").alias("population"),
-        to_decimal(field(line, 5)).alias("lat"),
-        to_decimal(field(line, 6)).alias("lon"),
-    )
-    needed = [c for c in parsed.columns if not (keep_missing and c == "population")]
-    return parsed.dropna(subset=needed)
+    def fields(at) -> dict[str, Column]:
+        return {
+            "country": F.upper(at(0)),
+            "region": at(3),
+            "city": at(2),
+            "population": to_integer(at(4), "bigint"),
+            "lat": to_double(at(5)),
+            "lon": to_double(at(6)),
+        }
+
+    needed = ["country", "region", "city", "population", "lat", "lon"]
+    if keep_missing:
+        needed.remove("population")
+    return parse_rows(lines, fields, needed)
 
 
 def parse_cities_wide(lines: DataFrame) -> DataFrame:
     """All seven fields; missing text is null, a missing number 0."""
-    line = F.col("line")
-    at = {name: field(line, i) for i, name in enumerate(CITY_FIELDS)}
-    return lines.select(
-        *[at[c].alias(c) for c in ("country", "city", "accent_city", "region")],
-        F.coalesce(to_integer(at["population"]), F.lit(0)).alias("population"),
-        F.coalesce(to_decimal(at["lat"]), F.lit(0.0)).alias("lat"),
-        F.coalesce(to_decimal(at["lon"]), F.lit(0.0)).alias("lon"),
-    )
+    def fields(at) -> dict[str, Column]:
+        text = {name: at(i) for i, name in enumerate(CITY_FIELDS)}
+        return text | {
+            "population": F.coalesce(to_integer(text["population"]), F.lit(0)),
+            "lat": F.coalesce(to_double(text["lat"]), F.lit(0.0)),
+            "lon": F.coalesce(to_double(text["lon"]), F.lit(0.0)),
+        }
+
+    return parse_rows(lines, fields, [])
 
 
 def parse_regions(lines: DataFrame, mode: str = STRICT) -> DataFrame:
@@ -48,18 +52,17 @@ def parse_regions(lines: DataFrame, mode: str = STRICT) -> DataFrame:
     strict reads quoted csv, so that a name may hold commas, and drops short
     lines. compat cuts at every comma and strips the first and last character.
     """
-    line = F.col("line")
     if mode == COMPAT:
-        name = field(line, 2)
-        name = F.substring(name, F.lit(2), F.greatest(F.length(name) - 2, F.lit(0)))
-        fields = [field(line, 0), field(line, 1), name]
-        parsed = lines.select(*fields)
-    elif mode == STRICT:
-        row = F.from_csv(line, "country string, region string, name string", {"quote": '"'})
-        parsed = lines.select(row.alias("row")).select("row.*")
-    else:
+        def fields(at) -> dict[str, Column]:
+            name = at(2)
+            inner = F.substring(name, F.lit(2), F.greatest(F.length(name) - 2, F.lit(0)))
+            return {"country": F.upper(at(0)), "region": at(1), "name": inner}
+
+        return parse_rows(lines, fields, ["country", "region", "name"])
+    if mode != STRICT:
         raise ValueError(f"unknown mode {mode!r}")
-    parsed = parsed.toDF("country", "region", "name")
+    row = F.from_csv("line", "country string, region string, name string", {"quote": '"'})
+    parsed = lines.select(row.alias("row")).select("row.*")
     return parsed.withColumn("country", F.upper("country")).dropna()
 
 

@@ -1,7 +1,8 @@
 """Point files: ``lat,lng,height`` and ``lat,lng`` text.
 
 ``mode="strict"`` drops a line with a bad field. ``mode="compat"`` sets each
-bad field to 0, so that such lines land on the origin.
+bad field to 0, so that such lines land on the origin. Not-a-number is a double
+and passes the parser; the strict bounds drop it.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from altigrid.functions.grid import LAT_MAX, LAT_MIN, LON_MAX, LON_MIN
-from altigrid.functions.text import field, to_decimal, to_double, to_integer
+from altigrid.functions.text import parse_rows, to_double, to_integer
 
 STRICT, COMPAT = "strict", "compat"
 HEIGHT_MIN, HEIGHT_MAX = 0, 9000
@@ -27,16 +28,16 @@ def _check(mode: str) -> None:
 
 def _numbers(lines: DataFrame, mode: str, names: dict[str, str], keep_bad: bool) -> DataFrame:
     _check(mode)
-    cols = []
-    for i, (name, kind) in enumerate(names.items()):
-        text = field(F.col("line"), i)
-        if kind == "int":
-            value, zero = to_integer(text), F.lit(0)
-        else:
-            value, zero = (to_decimal if mode == STRICT else to_double)(text), F.lit(0.0)
-        cols.append((F.coalesce(value, zero) if mode == COMPAT else value).alias(name))
-    parsed = lines.select(*cols)
-    return parsed if mode == COMPAT or keep_bad else parsed.dropna()
+
+    def fields(at) -> dict[str, Column]:
+        found = {}
+        for i, (name, kind) in enumerate(names.items()):
+            value = to_integer(at(i)) if kind == "int" else to_double(at(i))
+            found[name] = F.coalesce(value, F.lit(0).cast(kind)) if mode == COMPAT else value
+        return found
+
+    needed = [] if mode == COMPAT or keep_bad else list(names)
+    return parse_rows(lines, fields, needed)
 
 
 def parse_dem(lines: DataFrame, mode: str = STRICT, keep_bad: bool = False) -> DataFrame:
@@ -54,10 +55,13 @@ def parse_points_rowfail(lines: DataFrame) -> DataFrame:
 
     ``ok`` tells the two apart, and ``line`` is kept to report the failures.
     """
-    lat, lon = (to_double(field(F.col("line"), i)) for i in (0, 1))
-    ok = lat.isNotNull() & lon.isNotNull()
-    at = lambda v: F.when(ok, v).otherwise(F.lit(0.0))
-    return lines.select("line", at(lat).alias("lat"), at(lon).alias("lon"), ok.alias("ok"))
+    def fields(at) -> dict[str, Column]:
+        lat, lon = to_double(at(0)), to_double(at(1))
+        ok = lat.isNotNull() & lon.isNotNull()
+        whole = lambda v: F.when(ok, v).otherwise(F.lit(0.0))
+        return {"lat": whole(lat), "lon": whole(lon), "ok": ok}
+
+    return parse_rows(lines, fields, [], keep=["line"])
 
 
 def failed_lines(points: DataFrame) -> DataFrame:
