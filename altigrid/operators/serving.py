@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from altigrid.functions import grid
 from altigrid.functions.grid import LAT_MIN, LON_MIN, TILE_SIDE, ZOOM_LIMIT, clamp
-from altigrid.operators.joins import split_join
+from altigrid.operators.joins import BROADCAST_ROWS, has_at_most, split_join
 
 TILE_KEY = ["zoom", "tile_x", "tile_y"]
 SEARCH_LIMIT = 1000
@@ -69,11 +69,23 @@ def tiles_in_bbox(requests: DataFrame, tiles: DataFrame) -> DataFrame:
     return split_join(needed, tiles, TILE_KEY, "inner")
 
 
+def requested_tiles(requested: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Stored tiles that any request names, taken out while the table is scanned.
+
+    Rasters are wide: where the requested keys are few enough to broadcast, only
+    those tiles go on to the join. Else all do.
+    """
+    keys = requested.select(*TILE_KEY).distinct()
+    if has_at_most(keys, BROADCAST_ROWS):
+        return tiles.join(F.broadcast(keys), TILE_KEY, "left_semi")
+    return tiles
+
+
 def tile_lookup(requests: DataFrame, tiles: DataFrame) -> DataFrame:
     """The tile that holds each request's (lat, lon) at its zoom, null if none is stored."""
     tx, ty = grid.tile_index(F.col("lat"), F.col("lon"), F.col("zoom"))
     keyed = requests.withColumn("tile_x", tx).withColumn("tile_y", ty)
-    return split_join(keyed, tiles, TILE_KEY, "left")
+    return split_join(keyed, requested_tiles(keyed, tiles), TILE_KEY, "left")
 
 
 def tile_by_key(tiles: DataFrame, zoom: int, geohash: str) -> DataFrame:

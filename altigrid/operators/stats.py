@@ -67,18 +67,24 @@ def histogram_edges(df: DataFrame, col: str, edges: Sequence[float] = DEFAULT_ED
 def histogram_auto(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Counts in equal buckets between the smallest and the largest value.
 
-    Values are first counted, then both the range and the buckets come from
-    those counts: the table itself is read once, and its shuffle is reused.
+    Small whole numbers are first counted by value; the range and the buckets
+    then both come from those few counts, so the table is read once. Other
+    types may have as many values as rows: they are read twice, for the range
+    and for the buckets, and never shuffled by value.
     """
     value = F.col(col).cast("double").alias("v")
-    counted = df.select(value).where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("v").agg(
-        F.count(F.lit(1)).alias("n"))
-    span = counted.agg(
+    rows = df.select(value).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    if df.schema[col].dataType.typeName() in ("byte", "short", "integer"):
+        rows = rows.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        rows = rows.withColumn("n", F.lit(1).cast("bigint"))
+    # Summing n keeps both uses of the counts identical, so their exchange is shared.
+    span = rows.agg(
         F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("n"))).scalar()
     lo, hi = span["lo"], span["hi"]
     share = F.floor((F.col("v") - lo) * F.lit(float(buckets)) / F.nullif(hi - lo, F.lit(0.0)))
-    bucket = F.coalesce(F.least(share, F.lit(buckets - 1)), F.lit(0)).cast("int")
-    counts = counted.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n"))
+    bucket = F.when(share.isNull(), 0).otherwise(F.least(share, F.lit(buckets - 1))).cast("int")
+    counts = rows.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n"))
     edge = lambda i: lo + i.cast("double") * (hi - lo) / F.lit(float(buckets))
     return _dense(counts, buckets).select(
         "bucket", edge(F.col("bucket")).alias("low"), edge(F.col("bucket") + 1).alias("high"), "n")

@@ -6,8 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from altigrid.functions import grid
-from altigrid.functions.geohash import geohash, geohash_decode
+from altigrid.functions import geohash as keys, grid
 from altigrid.operators import gps, pixels, places, pyramid, serving, stats, tiles
 from altigrid.plans.views import Inputs
 from altigrid.sources import hgt, places as place_files, points, store
@@ -151,13 +150,13 @@ def tile_key_text(i: Inputs) -> DataFrame:
 @_query
 def geohash_points(i: Inputs) -> DataFrame:
     lat, lon = F.col("lat"), F.col("lon")
-    return _dem(i).select("point_id", *[geohash(lat, lon, n).alias(f"geohash{n}") for n in (6, 8, 10)])
+    return _dem(i).select("point_id", *[keys.geohash(lat, lon, n).alias(f"geohash{n}") for n in (6, 8, 10)])
 
 
 @_query
-def geohash_decode_points(i: Inputs) -> DataFrame:
-    keyed = _dem(i).select("point_id", geohash(F.col("lat"), F.col("lon"), 8).alias("geohash"))
-    lat, lon = geohash_decode(F.col("geohash"), 8)
+def geohash_decode(i: Inputs) -> DataFrame:
+    keyed = _dem(i).select("point_id", keys.geohash(F.col("lat"), F.col("lon"), 8).alias("geohash"))
+    lat, lon = keys.geohash_decode(F.col("geohash"), 8)
     return keyed.select("point_id", "geohash", F.round(lat, 9).alias("lat"), F.round(lon, 9).alias("lon"))
 
 

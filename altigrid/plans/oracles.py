@@ -297,7 +297,7 @@ def all_oracles() -> dict[str, str]:
                   {_corner('(gx >> 8)', 'zoom', 180)} AS tile_lon FROM located)""", located=_points_at(MAX_ZOOM)),
         "geohash_points": _with(["dem"], "SELECT point_id, " + ", ".join(
             f"{_geohash('lat', 'lon', n)} AS geohash{n}" for n in (6, 8, 10)) + " FROM dem"),
-        "geohash_decode_points": _with(["dem"], f"""SELECT point_id, {_geohash('lat', 'lon', 8)} AS geohash,
+        "geohash_decode": _with(["dem"], f"""SELECT point_id, {_geohash('lat', 'lon', 8)} AS geohash,
             ROUND((CAST({_bits('lat', 'lon', 8)[2]} AS DOUBLE) + 0.5) * CAST({180 / 2**20!r} AS DOUBLE) - 90, 9) AS lat,
             ROUND((CAST({_bits('lat', 'lon', 8)[1]} AS DOUBLE) + 0.5) * CAST({360 / 2**20!r} AS DOUBLE) - 180, 9) AS lon
             FROM dem"""),

@@ -72,7 +72,20 @@ def test_lookup(spark, table):
                                   "request_id int, lat double, lon double, zoom int")
     found = {r.request_id: r for r in serving.tile_lookup(asked, table).collect()}
     assert (found[1].tile_x, found[1].tile_y) == (1, 0) and found[1].geohash == "h0000000"
-    assert found[2].geohash is None and found[2].tile_x == 1024
+    assert found[2].geohash is None and found[2].tile_x == 512
+
+
+def test_lookup_joins_only_the_tiles_asked_for(spark, table, plan, rows, monkeypatch):
+    asked = spark.range(2000).select(
+        F.col("id").alias("request_id"), (F.col("id") % 170 - 85).cast("double").alias("lat"),
+        (F.col("id") % 350 - 175).cast("double").alias("lon"), (F.col("id") % 6).cast("int").alias("zoom"))
+    few = serving.tile_lookup(asked, table)
+    assert "LeftSemi" in plan(few)
+    monkeypatch.setattr(serving, "BROADCAST_ROWS", 3)
+    many = serving.tile_lookup(asked, table)
+    assert "LeftSemi" not in plan(many)
+    pick = ("request_id", "tile_x", "tile_y", "n_pixels")
+    assert rows(few.fillna(-1), *pick) == rows(many.fillna(-1), *pick)
 
 
 def test_missing(spark, table, rows):
@@ -129,11 +142,13 @@ def test_hot_key_is_cut_into_pieces(spark, skewed):
     from altigrid.operators import joins
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
         found = joins.split_join(left, right, ["k"], "inner", hot_rows=100)
         sizes = [r["count"] for r in found.where("k = 7").groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(sizes) == left.where("k = 7").count() and len(sizes) > 1
 
 

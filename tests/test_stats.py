@@ -44,11 +44,21 @@ def test_equal_buckets_of_one_value(spark):
     assert counts(stats.histogram_auto(column(spark, [7, 7, 7]), "v", 4)) == {0: 3}
 
 
-def test_equal_buckets_read_the_table_once(inputs):
-    found = stats.histogram_auto(inputs.dem(), "height")
-    found.collect()
-    text = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "ReusedExchange" in text
+def test_equal_buckets_equal_numpy(spark):
+    values = np.random.default_rng(4).uniform(-180, 180, 3000)
+    found = stats.histogram_auto(column(spark, values.tolist(), "double"), "v", 7).orderBy("bucket")
+    assert [r.n for r in found.collect()] == np.histogram(values, 7)[0].tolist()
+
+
+def test_heights_are_read_once_and_longitudes_never_shuffled(inputs):
+    def final_plan(df):
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+    heights = final_plan(stats.histogram_auto(inputs.dem(), "height"))
+    assert "ReusedExchange" in heights and heights.count("FileScan") <= 1
+    longitudes = final_plan(stats.histogram_auto(inputs.gps(), "lon"))
+    assert "hashpartitioning(v#" not in longitudes
 
 
 def test_summary(spark):
