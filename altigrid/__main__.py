@@ -19,6 +19,8 @@ def _parser() -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=note)
         sub.add_argument("--source", required=True)
         sub.add_argument("--out", required=True)
+        sub.add_argument("--shuffle-partitions", type=int,
+                         help="upper bound; the adaptive planner joins small ones")
         return sub
 
     tiles = command("tiles", "elevation files to pixel and tile tables")
@@ -43,6 +45,8 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"altigrid {args.job}").getOrCreate()
+    if args.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", args.shuffle_partitions)
     if args.job == "tiles":
         readings = jobs.read_elevation(spark, args.source, args.kind, args.mode)
         jobs.build_tiles(spark, readings, args.out, args.max_zoom)

@@ -43,13 +43,38 @@ def to_double(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def significant_text(value: Column, digits: int = 10) -> Column:
-    """Shortest text with at most ``digits`` significant digits.
+def with_significant_text(df: DataFrame, columns: list[str], digits: int = 10) -> DataFrame:
+    """Number columns as the shortest text with at most ``digits`` significant digits.
 
     Trailing zeros go; magnitudes below 1e-4 take exponent form. Meant for
-    degrees (below 1000).
+    degrees (below 1000). Digits come from one whole number per value, which is
+    much cheaper than formatting each; the steps are columns of their own, so
+    that each is computed once and the generated code stays small.
     """
-    exact = F.format_string(f"%.{digits - 1}e", value)
-    plain = F.regexp_replace(exact.cast("decimal(30,16)").cast("string"), r"\.?0+$", "")
-    tiny = (F.abs(value) < 1e-4) & (value != 0.0)
-    return F.when(tiny, F.regexp_replace(exact, r"\.?0+e", "e")).otherwise(plain)
+    step = lambda name, make: {f"_{name}_{c}": make(c) for c in columns}
+    made = lambda name, c: F.col(f"_{name}_{c}")
+
+    def places(c: str) -> Column:
+        # Decimals that leave ``digits`` digits, by the place of the first one.
+        firsts = range(2, -4, -1)
+        return F.coalesce(
+            *[F.when(F.abs(c) >= 10.0**first, digits - 1 - first) for first in firsts],
+            F.lit(digits + 3))
+
+    units = F.array(*[F.lit(10**k).cast("bigint") for k in range(digits + 4)])
+    out = df.withColumns(step("places", places))
+    out = out.withColumns(step("unit", lambda c: F.get(units, made("places", c))))
+    out = out.withColumns(step("whole", lambda c: F.rint(
+        F.abs(c) * made("unit", c).cast("double")).cast("bigint")))
+
+    def text(c: str) -> Column:
+        value, whole, unit = F.col(c), made("whole", c), made("unit", c)
+        decimals = F.lpad((whole % unit).cast("string"), made("places", c), F.lit("0"))
+        plain = F.concat(
+            F.when(value < 0.0, "-").otherwise(""),
+            F.call_function("div", whole, unit).cast("string"), F.lit("."), decimals)
+        exponent = F.regexp_replace(F.format_string(f"%.{digits - 1}e", value), r"\.?0+e", "e")
+        return F.when((F.abs(value) < 1e-4) & (value != 0.0), exponent).otherwise(
+            F.rtrim(F.rtrim(plain, F.lit("0")), F.lit(".")))
+
+    return out.withColumns({c: text(c) for c in columns}).select(df.columns)

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 BLOCK_LEVELS = 10
+# Levels reached directly from the finest pixels; a 16th of them is left above.
+NEAR_LEVELS = 2
 
 # Roll-up rules: measure columns of a pixel table and how four become one.
 _MEASURES = {
@@ -34,20 +36,28 @@ def _finish(levels: DataFrame, agg: str) -> DataFrame:
     return levels
 
 
-def _block(levels: int) -> list[Column]:
-    return [F.shiftright(g, levels).alias(b) for g, b in (("gx", "bx"), ("gy", "by"))]
+def _by_block(pixels: DataFrame, levels: int, columns: list[str]) -> DataFrame:
+    """(block, gx, gy, columns): all pixels below one pixel ``levels`` up in one partition."""
+    bx, by = (F.shiftright(g, levels).cast("bigint") for g in ("gx", "gy"))
+    block = (F.shiftleft(by, 32) + bx).alias("block")
+    return pixels.select(block, "gx", "gy", *columns).repartition("block")
 
 
-def _by_block(pixels: DataFrame, levels: int, columns: list[str]) -> DataFrame:
-    return pixels.select(*_block(levels), "gx", "gy", *columns).repartition("bx", "by")
+def _ancestors(blocks: DataFrame, zoom: int, ups: range, rules: dict) -> DataFrame:
+    """Pixels ``ups`` levels above those of ``zoom``, without leaving the block."""
+    fanned = blocks.select("*", F.explode(F.lit(list(ups))).alias("up"))
+    shifted = [F.call_function("shiftright", F.col(g), F.col("up")).alias(g) for g in ("gx", "gy")]
+    rolled = fanned.groupBy("block", "up", *shifted).agg(*[f().alias(c) for c, f in rules.items()])
+    return rolled.select((F.lit(zoom) - F.col("up")).alias("zoom"), "gx", "gy", *rules)
 
 
 def pyramid(pixels: DataFrame, max_zoom: int, min_zoom: int = 0, agg: str = "max") -> DataFrame:
-    """All zooms max_zoom..min_zoom of the pixels of ``max_zoom``.
+    """All zooms max_zoom..min_zoom, from one row per pixel of ``max_zoom``.
 
     ``agg``: ``max`` of ``alt``; ``mean`` of (total, n), exact at every zoom;
-    ``count`` sums ``n``. One shuffle of the finest pixels by block; each then
-    emits one row per zoom, reduced inside its partition.
+    ``count`` sums ``n``. The finest pixels are shuffled once, by block. In
+    place, each then counts towards its next few ancestors, and the few pixels
+    left at the top of those towards all others.
     """
     rules = _rules(agg)
     levels = max_zoom - min_zoom
@@ -57,12 +67,16 @@ def pyramid(pixels: DataFrame, max_zoom: int, min_zoom: int = 0, agg: str = "max
         fine = pyramid(pixels, max_zoom, cut, agg)
         coarse = pyramid(fine.where(F.col("zoom") == cut), cut, min_zoom, agg)
         return fine.unionByName(coarse.where(F.col("zoom") < cut))
-    up = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("up")
-    fanned = _by_block(pixels, levels, list(rules)).select("*", up)
-    shifted = [F.call_function("shiftright", F.col(g), F.col("up")).alias(g) for g in ("gx", "gy")]
-    rolled = fanned.groupBy("bx", "by", "up", *shifted).agg(*[f().alias(c) for c, f in rules.items()])
-    zoom = (F.lit(max_zoom) - F.col("up")).alias("zoom")
-    return _finish(rolled.select(zoom, "gx", "gy", *rules), agg)
+    blocks = _by_block(pixels, levels, list(rules))
+    near = min(levels, NEAR_LEVELS)
+    found = [blocks.select(F.lit(max_zoom).alias("zoom"), "gx", "gy", *rules)]
+    if near:
+        found.append(_ancestors(blocks, max_zoom, range(1, near + 1), rules))
+    if levels > near:
+        parents = [F.shiftright(g, near).alias(g) for g in ("gx", "gy")]
+        top = blocks.groupBy("block", *parents).agg(*[f().alias(c) for c, f in rules.items()])
+        found.append(_ancestors(top, max_zoom - near, range(1, levels - near + 1), rules))
+    return _finish(reduce(DataFrame.unionByName, found), agg)
 
 
 def roll_up(pixels: DataFrame, zoom: int, agg: str = "max") -> DataFrame:
@@ -118,9 +132,9 @@ def pyramid_mean_of_means(cells: DataFrame, max_zoom: int, min_zoom: int = 0) ->
     found = [level]
     for _ in range(levels):
         parents = [F.shiftright(g, 1).alias(g) for g in ("gx", "gy")]
-        sums = level.groupBy("bx", "by", *parents).agg(
+        sums = level.groupBy("block", *parents).agg(
             F.sum("alt").alias("total"), F.count("alt").alias("n"))
-        level = sums.select("bx", "by", "gx", "gy", F.expr("CAST(total DIV n AS INT)").alias("alt"))
+        level = sums.select("block", "gx", "gy", F.expr("CAST(total DIV n AS INT)").alias("alt"))
         found.append(level)
     zoomed = [df.select(F.lit(max_zoom - up).alias("zoom"), "gx", "gy", "alt")
               for up, df in enumerate(found)]

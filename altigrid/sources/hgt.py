@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from altigrid.functions.text import significant_text
+from altigrid.functions.text import with_significant_text
 from altigrid.sources.points import COMPAT, STRICT
 
 GRID_SIDE = 1201
@@ -108,8 +108,5 @@ def read_hgt(spark: SparkSession, path: str, n: int = GRID_SIDE, mode: str = STR
 
 def points_to_text(points: DataFrame) -> DataFrame:
     """``lat,lng,height`` lines with 10 significant digits."""
-    return points.select(
-        F.concat_ws(
-            ",", significant_text(F.col("lat")), significant_text(F.col("lon")),
-            F.col("height").cast("string"),
-        ).alias("line"))
+    text = with_significant_text(points, ["lat", "lon"])
+    return text.select(F.concat_ws(",", "lat", "lon", F.col("height").cast("string")).alias("line"))

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from altigrid.functions.text import significant_text
+from altigrid.functions.text import with_significant_text
 from altigrid.sources import hgt, points
 
 GRID = [[1, 2, 3], [0, -32768, 6], [7, 8, 9]]
@@ -63,7 +63,7 @@ def test_text_has_ten_significant_digits(spark):
     values = [0.0, 45.5, -179.1234567891, 9.123456789123, 0.1234567890123, 0.00083263946711,
               100.0, -66.0, 8.326394671e-7, -4.5e-5, 1 / 3, 20 + 1 / 1200, 89.99999999999]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    found = [r[0] for r in df.select(significant_text(F.col("v"))).collect()]
+    found = [r[0] for r in with_significant_text(df, ["v"]).collect()]
     assert found == [f"{v:.10g}" for v in values]
 
 
