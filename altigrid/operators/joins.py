@@ -19,15 +19,18 @@ def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
 
     Keys with more than ``hot_rows`` left rows are cut into pieces of about
     that size by a hash of the row, and their right rows repeated once per
-    piece; all other keys join as they are. The broadcast list of hot keys has
-    at most ``rows(left) / hot_rows`` rows. The right side should hold few rows
-    per key.
+    piece; all other keys join as they are. The list of hot keys is broadcast:
+    it holds the ``BROADCAST_ROWS`` hottest at most, and where more keys are hot
+    none of the others owns a share that matters. The right side should hold
+    few rows per key.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     hot = (
         left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > hot_rows)
+        .orderBy(F.desc("_n"), *keys)
+        .limit(BROADCAST_ROWS)
         .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces"))
     )
     hot = F.broadcast(hot)

@@ -128,7 +128,7 @@ def unpack_tiles(tiles: DataFrame) -> DataFrame:
     """Tiles back to pixels (zoom, tile_x, tile_y, x, y, alt), no data left out.
 
     Tiles are cut into their 256 columns of 512 bytes before they reach Python,
-    so Arrow batches stay at a few megabytes.
+    so Arrow batches stay at a few megabytes; empty columns stay behind.
     """
     column_bytes = 2 * TILE_SIDE
     cut = tiles.select(
@@ -137,7 +137,7 @@ def unpack_tiles(tiles: DataFrame) -> DataFrame:
     ).select(
         "zoom", "tile_x", "tile_y", "x",
         F.substring("tile", F.col("x") * column_bytes + 1, F.lit(column_bytes)).alias("column"),
-    )
+    ).where(F.col("column") != F.lit(bytes(column_bytes)))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
