@@ -105,7 +105,7 @@ def divergence(p: Column, q: Column) -> Column:
 
 
 def judge(
-    docs: DataFrame, most_chars: float = 0.25, most_common: float = 0.45, most_both: float = 0.42, least_chars: int = 100, least_words: int = 50
+    docs: DataFrame, most_chars: float = 0.3, most_common: float = 0.45, most_both: float = 0.4, least_chars: int = 200, least_words: int = 50
 ) -> DataFrame:
     """doc_id, counts, base_failed, distances to the language (null under the guards) and kept."""
     shares = saved(histograms(base_counts(docs)))
