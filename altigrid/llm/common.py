@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,9 +52,10 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
-    """Python strings of an Arrow column, null as the empty text."""
-    return [t or "" for t in column.to_pylist()]
+def wider(df: DataFrame, columns: dict[str, str]) -> StructType:
+    """The schema of df with more columns."""
+    more = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in columns.items()))
+    return StructType([*df.schema.fields, *more.fields])
 
 
 def small_batches(batches, column: str, most: int = 4_000_000):

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from altigrid.llm.common import saved, small_batches
+from altigrid.llm.common import saved, small_batches, wider
 
 CAPACITY = 4096
 END = 1
@@ -323,7 +323,7 @@ def place(pieces: DataFrame, patterns: list[Pattern]) -> DataFrame:
     order = np.lexsort((ranks, lengths))
     key = np.array(lengths, np.int64)[order] * (1 << 48) + np.array(ranks, np.int64)[order]
     rank0, seq0, m0, off0 = (np.array(c, np.int64)[order] for c in (ranks, first_sequence, each, first_offset))
-    schema = pieces.drop("rank").schema.add("sequence_id", "long").add("offset", "long")
+    schema = wider(pieces.drop("rank"), {"sequence_id": "long", "offset": "long"})
 
     def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

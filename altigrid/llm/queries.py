@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from altigrid.llm import jaccard_join, packing, quality, toxicity
+from altigrid.llm import jaccard_join, packing, quality, suffix_dedup, topk, toxicity
 from altigrid.llm.common import table
 
 
@@ -20,13 +20,24 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: vec_id divisible by 100. Candidates: all other rows."""
+    vectors = table(spark, sf_dir, "embeddings").selectExpr("vec_id AS id", "embedding AS v")
+    return topk.top_k(vectors, vectors.where("id % 100 = 0"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_toxicity, op3_best_fit_packing, op5_jaccard_join, op10_quality_rules)}
+    every = (op2_toxicity, op3_best_fit_packing, op5_jaccard_join, op8_exact_top_k, op9_suffix_dedup, op10_quality_rules)
+    return {f.__name__: f for f in every}
 
 
 def llm_oracles() -> dict[str, str]:

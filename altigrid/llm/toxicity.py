@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from altigrid.llm.common import small_batches
+from altigrid.llm.common import small_batches, wider
 
 WORD = re.compile(r"[^\W_]+(?:['’*@$!0-9_-]+[^\W_]+)*")
 ROWS = 1 << 16
@@ -169,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, longest: in
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """All columns of docs and the score of their whole text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    out = docs.schema.add(column, "double")
+    out = wider(docs, {column: "double"})
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = sent.value
