@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from altigrid.llm import jaccard_join, packing, quality, suffix_dedup, topk, toxicity
+from altigrid.llm import jaccard_join, mixing, packing, page_differencing, preferences, quality, suffix_dedup, topk, toxicity, warc
 from altigrid.llm.common import table
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page: links, digests and sizes."""
+    records = warc.derive(warc.page_responses(table(spark, sf_dir, "pages")))
+    return records.select(
+        "warc_type", "record_id", "refers_to", "target_uri", "content_type", "block_digest", "source_block_digest", "source_payload_digest",
+        F.octet_length("block").cast("long").alias("n_bytes"), F.octet_length("record").cast("long").alias("n_record_bytes"),
+    )
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -16,10 +25,26 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with the last reply of the next one."""
+    pairs = preferences.swapped_replies(table(spark, sf_dir, "conversations"))
+    return preferences.format_pairs(pairs).withColumnRenamed("pair_id", "conv_id")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op6_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_differencing.main_text(table(spark, sf_dir, "pages"))
+
+
+def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in a mix that favours small sources: block of the mix and place in it."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"))
+    return mixed.select("doc_id", "source", F.col("_slot").alias("slot"), F.col("_place").alias("place"))
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queries: vec_id divisible by 100. Candidates: all other rows."""
     vectors = table(spark, sf_dir, "embeddings").selectExpr("vec_id AS id", "embedding AS v")
@@ -36,9 +61,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict:
-    every = (op2_toxicity, op3_best_fit_packing, op5_jaccard_join, op8_exact_top_k, op9_suffix_dedup, op10_quality_rules)
+    every = (
+        op1_warc_derivatives, op2_toxicity, op3_best_fit_packing, op4_preferences, op5_jaccard_join, op6_page_differencing,
+        op7_pfair_mixing, op8_exact_top_k, op9_suffix_dedup, op10_quality_rules,
+    )
     return {f.__name__: f for f in every}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op4_preferences": preferences.ORACLE}
