@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from altigrid.functions.grid import MAX_ZOOM
+from altigrid.functions.grid import MAX_ZOOM, ZOOM_LIMIT
 from altigrid.plans import jobs
 from altigrid.sources.points import COMPAT, STRICT
 
@@ -25,7 +25,8 @@ def _parser() -> argparse.ArgumentParser:
 
     tiles = command("tiles", "elevation files to pixel and tile tables")
     tiles.add_argument("--kind", choices=["text", "hgt"], default="text")
-    tiles.add_argument("--max-zoom", type=int, default=MAX_ZOOM)
+    tiles.add_argument("--max-zoom", type=int, default=MAX_ZOOM, choices=range(ZOOM_LIMIT + 1), metavar="0..19")
+    tiles.add_argument("--min-zoom", type=int, default=0, choices=range(ZOOM_LIMIT + 1), metavar="0..19")
     visits = command("gps-visits", "GPS text to visits per pixel")
     visits.add_argument("--zoom", type=int, default=9)
     others = [
@@ -35,8 +36,13 @@ def _parser() -> argparse.ArgumentParser:
     ]
     for sub in (tiles, visits, *others):
         sub.add_argument("--mode", choices=[STRICT, COMPAT], default=STRICT)
-    upsert = command("points", "sampled points under their geohash")
-    upsert.add_argument("--fraction", type=float, default=0.001)
+    others[0].add_argument("--drop-shared-edge", action="store_true", help="of neighbour files")
+    upsert = command("points", "points under their geohash")
+    upsert.add_argument("--fraction", type=float, help="store a sample only")
+    upsert.add_argument("--mode", choices=[STRICT, COMPAT], default=STRICT)
+    served = command("serve", "answers to a Parquet table of requests from a tile table (--source)")
+    served.add_argument("--requests", required=True)
+    served.add_argument("--kind", choices=["lookup", "box", "missing", "key"], required=True)
     cities = command("cities", "cities joined with regions, one per geohash")
     cities.add_argument("--regions", required=True)
     return parser
@@ -49,17 +55,19 @@ def main(argv: list[str] | None = None) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", args.shuffle_partitions)
     if args.job == "tiles":
         readings = jobs.read_elevation(spark, args.source, args.kind, args.mode)
-        jobs.build_tiles(spark, readings, args.out, args.max_zoom)
+        jobs.build_tiles(spark, readings, args.out, args.max_zoom, args.min_zoom)
     elif args.job == "gps-visits":
         jobs.gps_visits(spark, args.source, args.out, args.zoom, args.mode)
     elif args.job == "hgt-to-text":
-        jobs.hgt_to_text(spark, args.source, args.out, args.mode)
+        jobs.hgt_to_text(spark, args.source, args.out, args.mode, args.drop_shared_edge)
     elif args.job == "elevation-stats":
         jobs.elevation_stats(spark, args.source, args.out, args.mode)
     elif args.job == "gps-stats":
         jobs.gps_stats(spark, args.source, args.out, args.mode)
     elif args.job == "points":
-        jobs.store_points(spark, args.source, args.out, args.fraction)
+        jobs.store_points(spark, args.source, args.out, args.fraction, args.mode)
+    elif args.job == "serve":
+        jobs.serve(spark, args.source, args.requests, args.out, args.kind)
     else:
         jobs.store_cities(spark, args.source, args.regions, args.out)
 

@@ -49,7 +49,10 @@ def geohash_of_bits(lon_bits: Column, lat_bits: Column, length: int) -> Column:
 
 
 def geohash(lat: Column, lon: Column, length: int) -> Column:
-    """Geohash of a coordinate, 1 to 12 characters."""
+    """Geohash of a coordinate, 1 to 12 characters; null off the map.
+
+    The north and east edges belong to the last cell.
+    """
     if not 1 <= length <= MAX_LENGTH:
         raise ValueError(f"geohash length must be 1..{MAX_LENGTH}")
     if length % 2:
@@ -61,7 +64,8 @@ def geohash(lat: Column, lon: Column, length: int) -> Column:
         at = F.floor((deg + F.lit(origin)) * F.lit(float(cells)) / F.lit(turn))
         return F.least(at, F.lit(cells - 1).cast("bigint"))
 
-    return geohash_of_bits(axis(lon, 180.0, 360.0), axis(lat, 90.0, 180.0), length)
+    key = geohash_of_bits(axis(lon, 180.0, 360.0), axis(lat, 90.0, 180.0), length)
+    return F.when(lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0), key)
 
 
 def tile_geohash(zoom: Column, tile_x: Column, tile_y: Column) -> Column:
@@ -72,7 +76,8 @@ def tile_geohash(zoom: Column, tile_x: Column, tile_y: Column) -> Column:
     key of a tile is ``(zoom, geohash)``.
     """
     shift = lambda v, by: F.call_function("shiftleft", v.cast("bigint"), by)
-    return geohash_of_bits(shift(tile_x, 19 - zoom), shift(tile_y, 20 - zoom), TILE_KEY_LENGTH)
+    key = geohash_of_bits(shift(tile_x, 19 - zoom), shift(tile_y, 20 - zoom), TILE_KEY_LENGTH)
+    return F.when(zoom.between(0, 19), key).otherwise(F.raise_error(F.lit("tile keys need a zoom of 0 to 19")))
 
 
 def geohash_decode(key: Column, length: int) -> tuple[Column, Column]:

@@ -15,8 +15,8 @@ from pyspark.sql import Column, functions as F
 TILE_SIDE = 256
 TILE_BITS = 8
 MAX_ZOOM = 10
-# INT indices hold up to 2 * 256 * 2**20 columns.
-ZOOM_LIMIT = 20
+# Tile keys tell tiles apart up to zoom 19; INT indices would hold one zoom more.
+ZOOM_LIMIT = 19
 
 LAT_MIN, LAT_MAX = -90.0, 90.0
 LON_MIN, LON_MAX = -180.0, 180.0

@@ -28,9 +28,13 @@ def gps_dedupe(points: DataFrame) -> DataFrame:
 def gps_heat(points: DataFrame, zoom: int) -> DataFrame:
     """Visits per pixel and their share of the busiest pixel of the zoom (0..1)."""
     visits = assign_pixels(points, zoom).groupBy("gx", "gy").agg(F.count(F.lit(1)).alias("n"))
+    return heat_of(visits.select(F.lit(zoom).alias("zoom"), "*"))
+
+
+def heat_of(visits: DataFrame) -> DataFrame:
+    """Counted visits (zoom, gx, gy, n) of one zoom with their share of the busiest pixel."""
     peak = visits.agg(F.max("n")).scalar()
-    return visits.select(
-        F.lit(zoom).alias("zoom"), "gx", "gy", "n", (F.col("n") / peak).alias("heat"))
+    return visits.select("zoom", "gx", "gy", "n", (F.col("n") / peak).alias("heat"))
 
 
 def points_upsert(points: DataFrame, order_col: str) -> DataFrame:

@@ -4,48 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 500_000
 HOT_ROWS = 2_000_000
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether a table has at most ``rows`` rows; reads no more than one row over."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Equi-join (inner, left or left_anti) of a left side with hot keys.
 
     Keys with more than ``hot_rows`` left rows are cut into pieces of about
-    that size by a hash of the row, and their right rows repeated once per
-    piece; all other keys join as they are. The list of hot keys is broadcast:
-    it holds the ``BROADCAST_ROWS`` hottest at most, and where more keys are hot
-    none of the others owns a share that matters. The right side should hold
-    few rows per key.
+    that size by a running number of the row, so that equal rows part too, and
+    their right rows repeated once per piece; all other keys join as they are.
+    The list of hot keys has at most rows / hot_rows entries; how it is joined is the
+    planner's choice. The right side should hold few rows per key.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     hot = (
         left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(BROADCAST_ROWS)
         .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces"))
     )
-    hot = F.broadcast(hot)
-    piece = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col("_pieces"))
-    cut = left.join(hot, keys, "left").withColumn(
-        "_piece", F.coalesce(piece, F.lit(0)).cast("int")).drop("_pieces")
+    numbered = left.withColumn("_row", F.monotonically_increasing_id())
+    piece = F.pmod("_row", F.col("_pieces"))
+    cut = numbered.join(hot, keys, "left").withColumn(
+        "_piece", F.coalesce(piece, F.lit(0)).cast("int")).drop("_pieces", "_row")
     repeated = right.join(hot, keys, "left").withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
     ).drop("_pieces")
     return cut.join(repeated, [*keys, "_piece"], how).drop("_piece")
-
-
-def lookup_join(left: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner",
-                broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join to a look-up table: broadcast after a check of its size, else split."""
-    if has_at_most(lookup, broadcast_rows):
-        return left.join(F.broadcast(lookup), keys, how)
-    return split_join(left, lookup, keys, how, hot_rows)

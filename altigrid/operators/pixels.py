@@ -80,15 +80,15 @@ def cell_mean(points: DataFrame, zoom: int) -> DataFrame:
 
 
 def pixels_all_zooms(points: DataFrame, max_zoom: int = MAX_ZOOM, min_zoom: int = 0) -> DataFrame:
-    """Highest altitude per pixel at every zoom, each taken directly from the points.
+    """Highest altitude per pixel at every zoom.
 
-    One scan and one shuffle, but every point emits a row per zoom: the
-    cross-check of the roll-ups in ``pyramid``, which read the points once.
+    Points are first reduced to the finest pixels; only these fan out, one row
+    per zoom: the cross-check of the roll-ups in ``pyramid``.
     """
-    zooms = F.explode(F.sequence(F.lit(min_zoom), F.lit(max_zoom)))
-    fanned = points.select("lat", "lon", "height", zooms.alias("zoom"))
-    gx, gy = grid.pixel_index(F.col("lat"), F.col("lon"), F.col("zoom"))
-    return fanned.groupBy("zoom", gx.alias("gx"), gy.alias("gy")).agg(F.max("height").alias("alt"))
+    up = F.explode(F.sequence(F.lit(0), F.lit(max_zoom - min_zoom))).alias("up")
+    fanned = pixel_max(points, max_zoom).select("gx", "gy", "alt", up)
+    gx, gy = (F.call_function("shiftright", F.col(g), F.col("up")).alias(g) for g in ("gx", "gy"))
+    return fanned.groupBy((F.lit(max_zoom) - F.col("up")).alias("zoom"), gx, gy).agg(F.max("alt").alias("alt"))
 
 
 def pixel_extent(points: DataFrame) -> DataFrame:

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from altigrid.functions.geohash import CITY_KEY_LENGTH, geohash
-from altigrid.operators.joins import lookup_join
 
 # Column names of a city's stored cells.
 COUNTRY_CELL, CITY_CELL, POPULATION_CELL = "C", "c", "p"
 
 
 def join_regions(cities: DataFrame, regions: DataFrame) -> DataFrame:
-    """Inner join on (country, region), both with the country in upper case."""
-    return lookup_join(cities, regions, ["country", "region"])
+    """Inner join on (country, region), both with the country in upper case.
+
+    The planner broadcasts the regions if their bytes allow, and else splits
+    regions with many cities while it runs.
+    """
+    return cities.join(regions, ["country", "region"])
 
 
 def city_by_geohash(cities: DataFrame, length: int = CITY_KEY_LENGTH) -> DataFrame:

@@ -121,20 +121,16 @@ def pyramid_fanout(pixels: DataFrame, max_zoom: int, min_zoom: int = 0,
 def pyramid_mean_of_means(cells: DataFrame, max_zoom: int, min_zoom: int = 0) -> DataFrame:
     """Each level the truncated mean of the truncated means below it.
 
-    Differs from ``agg="mean"``, which weighs by the number of points. The
-    levels depend on each other, so they run inside the blocks of the coarsest
-    level, one after the other.
+    Differs from ``agg="mean"``, which weighs by the number of points. Each level
+    is one exchange that its own output and the next level share, as in
+    :func:`pyramid_by_level`.
     """
-    levels = max_zoom - min_zoom
-    if levels > BLOCK_LEVELS:
-        raise ValueError(f"at most {BLOCK_LEVELS} levels")
-    level = _by_block(cells, levels, ["alt"])
+    level = cells.select("gx", "gy", "alt")
     found = [level]
-    for _ in range(levels):
+    for _ in range(max_zoom - min_zoom):
         parents = [F.shiftright(g, 1).alias(g) for g in ("gx", "gy")]
-        sums = level.groupBy("block", *parents).agg(
-            F.sum("alt").alias("total"), F.count("alt").alias("n"))
-        level = sums.select("block", "gx", "gy", F.expr("CAST(total DIV n AS INT)").alias("alt"))
+        sums = level.groupBy(*parents).agg(F.sum("alt").alias("total"), F.count("alt").alias("n"))
+        level = sums.select("gx", "gy", F.expr("CAST(total DIV n AS INT)").alias("alt"))
         found.append(level)
     zoomed = [df.select(F.lit(max_zoom - up).alias("zoom"), "gx", "gy", "alt")
               for up, df in enumerate(found)]

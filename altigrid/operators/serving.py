@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from altigrid.functions import grid
-from altigrid.functions.grid import LAT_MIN, LON_MIN, TILE_SIDE, ZOOM_LIMIT, clamp
-from altigrid.operators.joins import BROADCAST_ROWS, has_at_most, split_join
+from altigrid.functions.grid import LAT_MIN, LON_MAX, LON_MIN, TILE_SIDE, ZOOM_LIMIT, clamp
+from altigrid.operators.joins import split_join
 
 TILE_KEY = ["zoom", "tile_x", "tile_y"]
 SEARCH_LIMIT = 1000
@@ -21,23 +21,39 @@ def view_zoom(span: Column, width_px: Column, max_zoom: int = ZOOM_LIMIT) -> Col
 
 
 def _cover(low: Column, high: Column, origin: float, zoom: Column, count: Column):
-    """First and last tile index that an interval of degrees overlaps."""
+    """First and last tile index that an interval of degrees overlaps.
+
+    An interval of no width on a tile edge lies in the tile that begins there, on
+    the edge of the map in the last one.
+    """
     at = lambda deg: (deg - F.lit(origin)) / grid.step_degrees(zoom)
     first = F.greatest(F.floor(at(low)), F.lit(0))
-    last = F.least(F.ceil(at(high)), count) - 1
+    first = F.when((low == high) & (first == count), count - 1).otherwise(first)
+    last = F.least(F.greatest(F.ceil(at(high)) - 1, F.when(low == high, F.floor(at(low)))), count - 1)
     return first.cast("int"), last.cast("int")
 
 
+def _edges(boxes: DataFrame) -> DataFrame:
+    """Boxes with the first and last tile indices _x0, _x1, _y0, _y1.
+
+    A box whose lon_min exceeds its lon_max crosses the date line and becomes two.
+    """
+    zoom, low, high = F.col("zoom"), F.col("lon_min"), F.col("lon_max")
+    span = lambda a, b: F.struct(a.cast("double").alias("a"), b.cast("double").alias("b"))
+    sides = F.when(low > high, F.array(span(low, F.lit(LON_MAX)), span(F.lit(LON_MIN), high))).otherwise(F.array(span(low, high)))
+    cut = boxes.withColumn("_lon", F.explode(sides))
+    x0, x1 = _cover(F.col("_lon.a"), F.col("_lon.b"), LON_MIN, zoom, grid.grid_cols(zoom))
+    y0, y1 = _cover(F.col("lat_min"), F.col("lat_max"), LAT_MIN, zoom, grid.grid_rows(zoom))
+    return cut.select("*", x0.alias("_x0"), x1.alias("_x1"), y0.alias("_y0"), y1.alias("_y1")).drop("_lon")
+
+
 def box_tiles(boxes: DataFrame) -> DataFrame:
     """One row per tile of a box (lat_min, lon_min, lat_max, lon_max, zoom).
 
     Adds tile_x, tile_y; boxes that touch no tile vanish. All other columns are
     kept.
     """
-    zoom = F.col("zoom")
-    x0, x1 = _cover(F.col("lon_min"), F.col("lon_max"), LON_MIN, zoom, grid.grid_cols(zoom))
-    y0, y1 = _cover(F.col("lat_min"), F.col("lat_max"), LAT_MIN, zoom, grid.grid_rows(zoom))
-    edges = boxes.select("*", x0.alias("_x0"), x1.alias("_x1"), y0.alias("_y0"), y1.alias("_y1"))
+    edges = _edges(boxes)
     # An empty interval is a null list, which explodes to no row. Kept out of a
     # filter: that would be pushed below and repeat the arithmetic per bound.
     span = lambda a, b: F.explode(F.when(F.col(a) <= F.col(b), F.sequence(a, b)))
@@ -62,23 +78,34 @@ def viewport_cover(views: DataFrame, max_zoom: int = ZOOM_LIMIT) -> DataFrame:
 def tiles_in_bbox(requests: DataFrame, tiles: DataFrame) -> DataFrame:
     """Stored tiles in each request's box at its zoom.
 
-    The box becomes its list of tile indices, so this is an equi-join; popular
-    tiles are split.
+    A box becomes at most 64 square blocks of tiles, whatever its size. They meet
+    the blocks of the stored keys in an equi-join, so that rows follow
+    what is stored and not the area; rasters join last, popular ones split.
     """
-    needed = box_tiles(requests).drop("lat_min", "lon_min", "lat_max", "lon_max")
-    return split_join(needed, tiles, TILE_KEY, "inner")
+    needed = box_blocks(requests)
+    up = F.explode(F.sequence(F.lit(0), F.col("zoom") + 1)).alias("_up")
+    shift = lambda c: F.call_function("shiftright", F.col(c), F.col("_up"))
+    keys = tiles.select(*TILE_KEY, up).withColumns({"_bx": shift("tile_x"), "_by": shift("tile_y")})
+    inside = F.col("tile_x").between(F.col("_x0"), F.col("_x1")) & F.col("tile_y").between(F.col("_y0"), F.col("_y1"))
+    hits = split_join(needed, keys, ["zoom", "_up", "_bx", "_by"]).where(inside)
+    hits = hits.drop("lat_min", "lon_min", "lat_max", "lon_max", "_up", "_bx", "_by", "_x0", "_x1", "_y0", "_y1")
+    return split_join(hits, tiles, TILE_KEY, "inner")
+
+
+def box_blocks(requests: DataFrame) -> DataFrame:
+    """Requests with the blocks (_bx, _by) of 2 ** _up tiles a side that cover their box, 64 at most."""
+    edges = _edges(requests)
+    widest = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0")) + 1
+    up = F.greatest(F.lit(0), F.ceil(F.log2(widest / F.lit(7.0)))).cast("int")
+    shift = lambda c: F.call_function("shiftright", F.col(c), F.col("_up"))
+    span = lambda a, b: F.explode(F.when(F.col(a) <= F.col(b), F.sequence(shift(a), shift(b))))
+    held = edges.withColumn("_up", F.coalesce(up, F.lit(0)))
+    return held.withColumn("_bx", span("_x0", "_x1")).withColumn("_by", span("_y0", "_y1"))
 
 
 def requested_tiles(requested: DataFrame, tiles: DataFrame) -> DataFrame:
-    """Stored tiles that any request names, taken out while the table is scanned.
-
-    Rasters are wide: where the requested keys are few enough to broadcast, only
-    those tiles go on to the join. Else all do.
-    """
-    keys = requested.select(*TILE_KEY).distinct()
-    if has_at_most(keys, BROADCAST_ROWS):
-        return tiles.join(F.broadcast(keys), TILE_KEY, "left_semi")
-    return tiles
+    """Stored tiles that any request names; rasters of others go no further."""
+    return tiles.join(requested.select(*TILE_KEY).distinct(), TILE_KEY, "left_semi")
 
 
 def tile_lookup(requests: DataFrame, tiles: DataFrame) -> DataFrame:
@@ -95,8 +122,7 @@ def tile_by_key(tiles: DataFrame, zoom: int, geohash: str) -> DataFrame:
 
 def viewport_missing(cover: DataFrame, have: DataFrame) -> DataFrame:
     """Tiles of a cover that are not among those at hand (by zoom and index)."""
-    at_hand = have.select(*TILE_KEY).distinct()
-    return split_join(cover, at_hand, TILE_KEY, "left_anti")
+    return split_join(cover, have.select(*TILE_KEY), TILE_KEY, "left_anti")
 
 
 def tiles_visible(tiles: DataFrame, lat_min: float, lon_min: float, lat_max: float,

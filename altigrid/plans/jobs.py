@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from altigrid.functions.grid import MAX_ZOOM
-from altigrid.operators import gps, pixels, places, pyramid, stats, tiles
+from altigrid.operators import gps, pixels, places, pyramid, serving, stats, tiles
 from altigrid.sources import hgt, places as place_files, points, store
 
 
@@ -46,7 +46,10 @@ def gps_stats(spark: SparkSession, path: str, out: str, mode: str = points.STRIC
     _column_stats(points.parse_gps(points.read_lines(spark, path), mode), "lon", out, fraction)
 
 
-def _column_stats(df: DataFrame, col: str, out: str, fraction: float) -> None:
+def _column_stats(parsed: DataFrame, col: str, out: str, fraction: float) -> None:
+    """The text is parsed once, into ``out/values``; all results read that column."""
+    parsed.select(col).write.mode("overwrite").parquet(f"{out}/values")
+    df = parsed.sparkSession.read.schema(parsed.select(col).schema).parquet(f"{out}/values")
     results = {
         "summary": stats.summary_stats(df, col),
         "summary_sample": stats.summary_stats(gps.sample_bernoulli(df, fraction), col),
@@ -61,19 +64,26 @@ def gps_visits(spark: SparkSession, path: str, out: str, zoom: int, mode: str =
     """Visits, centroid and heat per pixel, as text and as a table."""
     found = points.gps_bounds(points.parse_gps(points.read_lines(spark, path), mode), mode)
     gps.gps_pixels(found, zoom).write.mode("overwrite").parquet(f"{out}/visits")
-    gps.gps_heat(found, zoom).write.mode("overwrite").parquet(f"{out}/heat")
     visits = spark.read.parquet(f"{out}/visits")
+    gps.heat_of(visits).write.mode("overwrite").parquet(f"{out}/heat")
     lines = visits.select(F.concat_ws(",", "zoom", "gx", "gy", "n", "lat", "lon").alias("line"))
     store.write_lines(lines, f"{out}/text")
 
 
-def store_points(spark: SparkSession, path: str, out: str, fraction: float = 0.001) -> None:
-    """Sampled points under their geohash; lines that do not parse go to ``out/failed``."""
-    lines = gps.sample_bernoulli(points.read_lines(spark, path), fraction, seed=0)
-    found = points.parse_points_rowfail(lines)
+def store_points(spark: SparkSession, path: str, out: str, fraction: float | None = None,
+                 mode: str = points.STRICT) -> None:
+    """Points under their geohash; all lines that do not parse go to ``out/failed``.
+
+    ``fraction`` stores a sample of the points only. strict leaves out failed
+    lines and points off the map; compat stores failed lines as (0, 0). Of lines
+    with one key the greatest as text wins, whatever order tasks run in.
+    """
+    found = points.parse_points_rowfail(points.read_lines(spark, path))
     store.write_lines(points.failed_lines(found), f"{out}/failed")
-    # Values of equal keys are told apart by their line, whatever order tasks run in.
-    gps.points_upsert(found, "line").write.mode("overwrite").parquet(f"{out}/points")
+    kept = points.gps_bounds(found.where("ok") if mode == points.STRICT else found, mode)
+    if fraction is not None:
+        kept = gps.sample_bernoulli(kept, fraction, seed=0)
+    gps.points_upsert(kept, "line").write.mode("overwrite").parquet(f"{out}/points")
 
 
 def store_cities(spark: SparkSession, cities: str, regions: str, out: str) -> None:
@@ -87,6 +97,30 @@ def store_cities(spark: SparkSession, cities: str, regions: str, out: str) -> No
     places.city_cells(spark.read.parquet(f"{out}/cities")).write.mode("overwrite").parquet(f"{out}/cells")
 
 
-def hgt_to_text(spark: SparkSession, path: str, out: str, mode: str = points.STRICT) -> None:
-    """Binary elevation files to ``lat,lng,height`` text, voids left out."""
-    store.write_lines(hgt.points_to_text(hgt.read_hgt(spark, path, mode=mode, min_height=None)), out)
+def hgt_to_text(spark: SparkSession, path: str, out: str, mode: str = points.STRICT,
+                drop_shared_edge: bool = False) -> None:
+    """Binary elevation files to ``lat,lng,height`` text, voids left out.
+
+    ``drop_shared_edge`` leaves out the row and column that the next file repeats.
+    """
+    found = hgt.read_hgt(spark, path, mode=mode, min_height=None, drop_shared_edge=drop_shared_edge)
+    store.write_lines(hgt.points_to_text(found), out)
+
+
+def serve(spark: SparkSession, tiles_path: str, requests: str, out: str, kind: str) -> None:
+    """Answers to a table of requests from a stored tile table: ``out/<kind>``.
+
+    lookup: (lat, lon, zoom); box: (lat_min, lon_min, lat_max, lon_max, zoom);
+    missing: (zoom, tile_x, tile_y), answered with those that are not stored;
+    key: (zoom, geohash). Other columns of the requests are kept.
+    """
+    asked, stored = spark.read.parquet(requests), store.read_tiles(spark, tiles_path)
+    answers = {
+        "lookup": lambda: serving.tile_lookup(asked, stored),
+        "box": lambda: serving.tiles_in_bbox(asked, stored),
+        "missing": lambda: serving.viewport_missing(asked, stored),
+        "key": lambda: asked.join(stored, ["zoom", "geohash"], "left"),
+    }
+    if kind not in answers:
+        raise ValueError(f"unknown kind of request {kind!r}")
+    answers[kind]().write.mode("overwrite").parquet(f"{out}/{kind}")

@@ -38,11 +38,15 @@ def _grid_rows(files: DataFrame, n: int) -> DataFrame:
 
     def corner(sign_at: int, digits: int, negative: str):
         sign = F.when(F.upper(F.substring(name, sign_at, 1)) == negative, -1.0).otherwise(1.0)
-        return F.substring(name, sign_at + 1, digits).cast("double") * sign
+        return F.substring(name, sign_at + 1, digits).try_cast("double") * sign
 
     width = 2 * n
-    whole = F.when(F.length("content") >= n * width, F.col("content")).otherwise(
-        F.raise_error(F.concat(F.lit("truncated elevation file: "), F.col("path"))))
+    named = name.rlike("^[nsNS][0-9]{2}[ewEW][0-9]{3}[.][hH][gG][tT]$")
+    fault = (
+        F.when(~named, "elevation file without a corner in its name: ")
+        .when(F.length("content") < n * width, "truncated elevation file: ")
+        .when(F.length("content") > n * width, "elevation file of another grid size: "))
+    whole = F.when(fault.isNull(), F.col("content")).otherwise(F.raise_error(F.concat(fault, F.col("path"))))
     cut = files.select(
         corner(1, 2, "S").alias("lat0"),
         corner(4, 3, "W").alias("lon0"),
@@ -101,9 +105,9 @@ def decode_hgt(
 
 
 def read_hgt(spark: SparkSession, path: str, n: int = GRID_SIDE, mode: str = STRICT,
-             min_height: int | None = 1) -> DataFrame:
+             min_height: int | None = 1, drop_shared_edge: bool = False) -> DataFrame:
     """Points of every elevation file under ``path``."""
-    return decode_hgt(read_hgt_files(spark, path), n, mode, min_height)
+    return decode_hgt(read_hgt_files(spark, path), n, mode, min_height, drop_shared_edge)
 
 
 def points_to_text(points: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,16 +16,15 @@ TILES_PER_FILE = 8192
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the session names it.
 
-    A local session without the setting gets a folder of its own.
+    A session with one process (``local[...]``) and without the setting uses its
+    warehouse folder.
     """
     folder = spark.conf.get(CHECKPOINT_KEY, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="altigrid-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -55,7 +55,7 @@ def test_index_is_inside_and_halves_exactly(spark, cloud):
     # Shifting the origin rounds a point this close to an edge onto it, at all zooms alike.
     near = [(math.nextafter(e, -200), math.nextafter(2 * e, -200)) for e in (0.0, 22.5, 45.0, -78.75)]
     cloud = cloud.unionByName(spark.createDataFrame(near, "lat double, lon double"))
-    for zoom in (1, 5, 10, 20):
+    for zoom in (1, 5, 10, 19):
         (gx, gy), (px, py) = (grid.pixel_index(LAT, LON, z) for z in (zoom, zoom - 1))
         side = 256 << zoom
         bad = cloud.where(
@@ -128,3 +128,11 @@ def test_tile_key_text_round_trip(spark):
     key = grid.tile_key_text(*[F.col(c) for c in row.columns])
     assert row.select(key).first()[0] == "-45.0#-67.5#3#17#255"
     assert row.select(*grid.split_tile_key(key)).first() == (-45.0, -67.5, 3, 17, 255)
+
+
+def test_no_key_off_the_map_or_beyond_the_zoom_limit(spark):
+    where = spark.createDataFrame([(-95.0, 0.0), (0.0, -190.0), (float("nan"), 0.0), (90.0, 180.0)], "lat double, lon double")
+    keys = [r.k for r in where.select(geohash(F.col("lat"), F.col("lon"), 6).alias("k")).collect()]
+    assert keys[:3] == [None] * 3 and keys[3] == "zzzzzz"
+    with pytest.raises(Exception, match="zoom of 0 to 19"):
+        spark.range(1).select(tile_geohash(F.lit(20) + F.col("id").cast("int"), F.lit(0), F.lit(0))).collect()

@@ -71,3 +71,10 @@ def test_text_export_is_read_back(spark, rows, tmp_path):
     write_grid(tmp_path, "N10E020.hgt")
     found = hgt.read_hgt(spark, str(tmp_path), n=3)
     assert rows(points.parse_dem(hgt.points_to_text(found))) == rows(found)
+
+
+@pytest.mark.parametrize("name, side, message", [("N10E020.hgt", 5, "another grid size"), ("somewhere.hgt", 3, "without a corner")])
+def test_files_of_another_kind_fail_by_name(spark, tmp_path, name, side, message):
+    (tmp_path / name).write_bytes(bytes(2 * side * side))
+    with pytest.raises(Exception, match=message):
+        hgt.read_hgt(spark, str(tmp_path), n=3).collect()

@@ -42,11 +42,30 @@ def test_gps_and_points(spark, tmp_path):
     assert spark.read.text(f"{out}/text").count() == 2
     main(["gps-stats", "--source", str(source), "--out", f"{out}/stats"])
     points = str(tmp_path / "points")
-    main(["points", "--source", str(source), "--out", points, "--fraction", "1.0"])
+    main(["points", "--source", str(source), "--out", points])
     assert spark.read.text(f"{points}/failed").count() == 1
+    assert sorted(r.value for r in spark.read.parquet(f"{points}/points").collect()) == [-90, 4]
+    main(["points", "--source", str(source), "--out", points, "--mode", "compat"])
     assert sorted(r.value for r in spark.read.parquet(f"{points}/points").collect()) == [-90, 0, 4]
 
 
+def test_serve(spark, tmp_path):
+    source, out = tmp_path / "dem.txt", str(tmp_path / "out")
+    source.write_text("45.5,3.25,1200\n-10,20,300\n")
+    main(["tiles", "--source", str(source), "--out", out, "--max-zoom", "3"])
+    asked = {
+        "lookup": ("id int, lat double, lon double, zoom int", [(1, 45.5, 3.25, 3), (2, 80.0, 100.0, 3)], 2),
+        "box": ("id int, lat_min double, lon_min double, lat_max double, lon_max double, zoom int", [(1, -90.0, -180.0, 90.0, 180.0, 3)], 2),
+        "missing": ("zoom int, tile_x int, tile_y int", [(0, 0, 0), (0, 1, 0)], 1),
+        "key": ("zoom int, geohash string", [(0, "h0000000"), (0, "00000000")], 2),
+    }
+    for kind, (schema, values, n) in asked.items():
+        requests = str(tmp_path / kind)
+        spark.createDataFrame(values, schema).write.parquet(requests)
+        main(["serve", "--source", f"{out}/tiles", "--requests", requests, "--out", out, "--kind", kind])
+        assert spark.read.parquet(f"{out}/{kind}").count() == n
+
+
 def test_cities(spark, tmp_path):
     cities, regions, out = tmp_path / "cities.txt", tmp_path / "regions.csv", str(tmp_path / "out")
     cities.write_text("Country,City,AccentCity,Region,Population,Latitude,Longitude\n"

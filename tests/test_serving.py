@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from altigrid.operators import pixels, pyramid, serving, tiles
-from altigrid.operators.joins import has_at_most, lookup_join, split_join
+from altigrid.operators.joins import split_join
 
 VIEW = "request_id int, lat_min double, lon_min double, lat_max double, lon_max double, width_px int"
 
@@ -75,17 +75,12 @@ def test_lookup(spark, table):
     assert found[2].geohash is None and found[2].tile_x == 512
 
 
-def test_lookup_joins_only_the_tiles_asked_for(spark, table, plan, rows, monkeypatch):
+def test_lookup_joins_only_the_tiles_asked_for(spark, table, plan):
     asked = spark.range(2000).select(
         F.col("id").alias("request_id"), (F.col("id") % 170 - 85).cast("double").alias("lat"),
         (F.col("id") % 350 - 175).cast("double").alias("lon"), (F.col("id") % 6).cast("int").alias("zoom"))
-    few = serving.tile_lookup(asked, table)
-    assert "LeftSemi" in plan(few)
-    monkeypatch.setattr(serving, "BROADCAST_ROWS", 3)
-    many = serving.tile_lookup(asked, table)
-    assert "LeftSemi" not in plan(many)
-    pick = ("request_id", "tile_x", "tile_y", "n_pixels")
-    assert rows(few.fillna(-1), *pick) == rows(many.fillna(-1), *pick)
+    text = plan(serving.tile_lookup(asked, table))
+    assert "LeftSemi" in text and "SinglePartition" not in text
 
 
 def test_missing(spark, table, rows):
@@ -152,13 +147,36 @@ def test_hot_key_is_cut_into_pieces(spark, skewed):
     assert sum(sizes) == left.where("k = 7").count() and len(sizes) > 1
 
 
-def test_lookup_join_beyond_its_bound(skewed, rows, plan):
-    left, right = skewed
-    assert has_at_most(right, 400) and not has_at_most(right, 399)
-    small = lookup_join(left, right, ["k"])
-    large = lookup_join(left, right, ["k"], broadcast_rows=10, hot_rows=100)
-    assert rows(small, "id", "k", "v") == rows(large, "id", "k", "v")
-    assert "BroadcastHashJoin" in plan(small)
+def test_equal_rows_on_one_key_part(spark):
+    left = spark.range(3000).select(F.lit(7).cast("long").alias("k"))
+    right = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        found = split_join(left, right, ["k"], "inner", hot_rows=100)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 3000 and len(sizes) > 1
+
+
+def test_boxes_over_the_date_line_and_without_area(spark, table, rows):
+    box = "request_id int, lat_min double, lon_min double, lat_max double, lon_max double, zoom int"
+    over = spark.createDataFrame([(1, -40.0, 170.0, 40.0, -170.0, 2)], box)
+    parts = spark.createDataFrame([(1, -40.0, 170.0, 40.0, 180.0, 2), (1, -40.0, -180.0, 40.0, -170.0, 2)], box)
+    assert rows(serving.box_tiles(over), "tile_x", "tile_y") == rows(serving.box_tiles(parts), "tile_x", "tile_y")
+    assert {r.tile_x for r in serving.box_tiles(over).collect()} == {0, 7}
+    assert rows(serving.tiles_in_bbox(over, table), "geohash") == rows(serving.tiles_in_bbox(parts, table), "geohash")
+    spots = spark.createDataFrame([(1, 0.0, 0.0, 0.0, 0.0, 2), (2, 10.0, 10.0, 10.0, 10.0, 2), (3, 90.0, 180.0, 90.0, 180.0, 2)], box)
+    assert rows(serving.box_tiles(spots), "request_id", "tile_x", "tile_y") == [(1, 4, 2), (2, 4, 2), (3, 7, 3)]
+
+
+def test_a_box_of_the_world_is_few_blocks(spark):
+    box = "lat_min double, lon_min double, lat_max double, lon_max double, zoom int"
+    for zoom in (0, 3, 10, 19):
+        world = spark.createDataFrame([(-90.0, -180.0, 90.0, 180.0, zoom)], box)
+        assert 0 < serving.box_blocks(world).count() <= 64
 
 
 def test_no_nested_loops(spark, inputs, table, plan):

@@ -104,3 +104,9 @@ def test_geohash_groups(spark, rows):
         [(1.0, 2.0, 10), (1.0, 2.0, 20), (30.0, 40.0, 5)], "lat double, lon double, height int")
     assert rows(gps.geohash_groups(points), "n", "min_height", "max_height", "mean_height") == [
         (1, 5, 5, 5.0), (2, 10, 20, 15.0)]
+
+
+def test_equal_buckets_leave_infinity_out(spark):
+    df = spark.createDataFrame([(x,) for x in (0.0, 1.0, float("inf"), float("-inf"), float("nan"), None)], "v double")
+    found = stats.histogram_auto(df, "v", 2).orderBy("bucket").collect()
+    assert [(r.low, r.high, r.n) for r in found] == [(0.0, 0.5, 1), (0.5, 1.0, 1)]
