@@ -97,7 +97,7 @@ def derivatives(record_id: str | None, target_uri: str | None, date: str | None,
     fields: list[tuple[str, str]] = [("source-record-id", source), ("source-block-digest", block_digest), ("source-payload-digest", payload_digest), ("conversion-id", conversion_id)]
     fields += [("http-status", status)] * bool(status) + [(f"http-header-{k.lower()}", v) for k, v in headers]
     title, language = _TITLE.search(page), _LANGUAGE.search(page)
-    fields += [("title", _line(title[1]))] * bool(title) + [("language", language[1])] * bool(language)
+    fields += [(k, _line(m[1])) for k, m in (("title", title), ("language", language)) if m]
     fields += [("outlink", _line(next(filter(None, m), ""))) for m in _LINK.findall(page)]
     metadata = "".join(f"{k}: {_line(v)}\r\n" for k, v in fields).encode("utf-8", "replace")
     linked = [("WARC-Target-URI", target_uri), ("WARC-Date", date), ("WARC-Refers-To", record_id), ("WARC-Refers-To-Target-URI", target_uri), ("WARC-Refers-To-Date", date)]
