@@ -36,14 +36,19 @@ _SPACE = "[\\x20\\x09-\\x0D]+"
 _WORD = "(?<![^\\x20\\x09-\\x0D])(?:" + "|".join(sorted(WORDS, key=len, reverse=True)) + ")(?![^\\x20\\x09-\\x0D.,;:!?])"
 
 
-def _count(column: Column, pattern: str) -> Column:
-    return F.length(column) - F.length(F.regexp_replace(column, pattern, ""))
-
-
 def base_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, text, words and the counts of the base rules."""
+    """doc_id, lang, text, the counts of the base rules, n_chars and classes (characters by CLASSES, then other).
+
+    Each class is taken out of what the ones before it have left, so that only
+    the first patterns see the whole text.
+    """
     text = F.coalesce("text", F.lit(""))
-    listed = docs.select("doc_id", "lang", text.alias("text")).withColumn("words", F.array_remove(F.split("text", _SPACE), ""))
+    cut = docs.select("doc_id", "lang", text.alias("text")).withColumn("left_0", F.col("text"))
+    for k, pattern in enumerate(CLASSES.values()):
+        cut = cut.withColumn(f"left_{k + 1}", F.regexp_replace(f"left_{k}", f"(?:{pattern})+", ""))
+    sizes = [F.length(f"left_{k}") for k in range(len(CLASSES) + 1)]
+    classes = F.array(*(a - b for a, b in zip(sizes, sizes[1:])), sizes[-1])
+    listed = cut.select("doc_id", "lang", "text", sizes[0].cast("long").alias("n_chars"), classes.alias("classes")).withColumn("words", F.array_remove(F.split("text", _SPACE), ""))
     lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
     marked = listed.withColumn("lines", lines).withColumn(
         "marks", F.when(F.size("words") >= 5, F.expr(
@@ -55,35 +60,25 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "sort_array(filter(transform(order, (p, k) -> CASE WHEN p.m = get(order, k + 1).m OR p.m = get(order, k - 1).m THEN p.i END), i -> i IS NOT NULL))"
     )
     covered = F.expr("aggregate(zip_with(starts, slice(starts, 2, size(starts)), (a, b) -> least(coalesce(b - a, 5), 5)), 0L, (s, d) -> s + d)")
+    of_class = {name: F.col("classes")[k].cast("long") for k, name in enumerate(CLASSES)}
     return repeating.withColumn("starts", starts).select(
-        "doc_id", "lang", "text", "words",
+        "doc_id", "lang", "text", "n_chars", "classes",
         F.size("words").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", _SPACE, "")).cast("long").alias("word_chars"),
-        _count(F.col("text"), "[#*$%&|<>]+").cast("long").alias("n_symbols"),
+        (F.col("n_chars") - of_class["space"]).alias("word_chars"), of_class["symbol"].alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
     )
 
 
 def histograms(counted: DataFrame) -> DataFrame:
-    """Adds n_chars, and the shares chars (by class, then other) and common (WORDS, then other words).
-
-    Each class is taken out of what the ones before it have left, so that only
-    the first patterns see the whole text.
-    """
-    found = counted.withColumn("n_chars", F.length("text").cast("long")).withColumn(
-        "hits", F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))
-    ).withColumn("left_0", F.col("text"))
-    for k, pattern in enumerate(CLASSES.values()):
-        found = found.withColumn(f"left_{k + 1}", F.regexp_replace(f"left_{k}", f"(?:{pattern})+", ""))
-    sizes = [F.length(f"left_{k}") for k in range(len(CLASSES) + 1)]
-    classes = [*(a - b for a, b in zip(sizes, sizes[1:])), sizes[-1]]
+    """Adds the shares chars (by class, then other) and common (WORDS, then other words)."""
+    found = counted.withColumn("hits", F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)))
     n, hits = F.greatest("n_chars", F.lit(1)).cast("double"), F.size("hits")
     words = [*(hits - F.size(F.array_remove("hits", w)) for w in WORDS), F.col("n_words") - hits]
     share = F.greatest("n_words", F.lit(1)).cast("double")
     return found.select(
-        *(c for c in counted.columns if c not in ("text", "words")), "n_chars",
-        F.array(*(c / n for c in classes)).alias("chars"), F.array(*(c / share for c in words)).alias("common"),
+        *(c for c in counted.columns if c not in ("text", "classes")),
+        F.array(*(F.col("classes")[k] / n for k in range(len(CLASSES) + 1))).alias("chars"), F.array(*(c / share for c in words)).alias("common"),
     )
 
 
