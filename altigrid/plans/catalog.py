@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from altigrid.functions import geohash as keys, grid
+from altigrid.functions.palette import palette_from_object
 from altigrid.operators import gps, pixels, places, pyramid, serving, stats, tiles
 from altigrid.plans.views import Inputs
 from altigrid.sources import hgt, places as place_files, points, store
@@ -111,6 +112,31 @@ def sample_bernoulli(i: Inputs) -> DataFrame:
     return gps.sample_bernoulli(i.dem(), SAMPLE, seed=7)
 
 
+@_query
+def sample_bernoulli_summary(i: Inputs) -> DataFrame:
+    """Whether the draw is one: its share within six deviations, no strangers, no repeats."""
+    drawn = gps.sample_bernoulli(i.dem().select("point_id"), SAMPLE, seed=7)
+    all_rows = i.dem().agg(F.count(F.lit(1))).scalar()
+    strangers = drawn.join(i.dem().select("point_id"), "point_id", "left_anti").agg(F.count(F.lit(1))).scalar()
+    off = F.abs(F.count(F.lit(1)) - SAMPLE * all_rows)
+    return drawn.agg(
+        (off <= 6 * F.sqrt(SAMPLE * (1 - SAMPLE) * all_rows)).alias("share_ok"),
+        (F.count(F.lit(1)) - F.count_distinct("point_id")).alias("n_repeats"),
+    ).withColumn("n_strangers", strangers)
+
+
+@_query
+def odd_lines_bounded(i: Inputs) -> DataFrame:
+    """Short, blank, off-map, infinite and not-a-number lines, parsed and bounded."""
+    return points.dem_bounds(points.parse_dem(i.odd_lines()))
+
+
+@_query
+def odd_gps_bounded(i: Inputs) -> DataFrame:
+    """The same lines read as GPS points: heights are beside the point."""
+    return points.gps_bounds(points.parse_gps(i.odd_lines()))
+
+
 # --- grid, keys -------------------------------------------------------------
 
 @_query
@@ -277,6 +303,13 @@ def _colour(i: Inputs, palette: str) -> DataFrame:
     return tiles.pixel_colour(pixels.pixel_max(_dem(i), PIXEL_ZOOM), palette)
 
 
+@_query
+def pixel_colour_custom(i: Inputs) -> DataFrame:
+    """A ramp given as an object, its stops out of order."""
+    ramp = {"name": "own", "values": {"0.75": [1, 0.5, 0.25], "0.25": [0, 0.25, 1], "0.5": [0.5, 1, 0.5]}}
+    return tiles.pixel_colour(pixels.pixel_max(_dem(i), PIXEL_ZOOM), palette_from_object(ramp))
+
+
 @_query
 def pixel_colour_gps(i: Inputs) -> DataFrame:
     return _colour(i, "gps")
@@ -336,6 +369,21 @@ def points_upsert(i: Inputs) -> DataFrame:
     return gps.points_upsert(points.gps_bounds(i.gps()), "point_id")
 
 
+@_query
+def points_merge(i: Inputs) -> DataFrame:
+    """Points of odd number put over a store of the even ones."""
+    found = points.gps_bounds(i.gps())
+    stored = gps.points_upsert(found.where("point_id % 2 = 0"), "point_id")
+    return gps.merge_points(stored, gps.points_upsert(found.where("point_id % 2 <> 0"), "point_id"))
+
+
+@_query
+def visit_pyramid(i: Inputs) -> DataFrame:
+    """Visits per pixel at all zooms."""
+    finest = gps.gps_pixels(points.gps_bounds(i.gps()), MAX_ZOOM)
+    return pyramid.pyramid(finest, MAX_ZOOM, agg="count")
+
+
 @_query
 def gps_text_export(i: Inputs) -> DataFrame:
     """Write visit counts as text and read the lines back."""

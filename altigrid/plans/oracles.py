@@ -6,11 +6,13 @@ the coordinates, window ranks for ties, and explicit joins to the palette.
 
 from __future__ import annotations
 
-from altigrid.functions.geohash import ALPHABET
 from altigrid.functions.palette import PALETTES
 from altigrid.plans.catalog import (
     HGT_SIDE, MAX_ZOOM, MEAN_ZOOM, PIXEL_ZOOM, SAMPLE, STORE_ZOOM, TILE_ZOOM)
 
+# Fixed value: the public base-32 alphabet of geohash.
+ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
+
 VIEW_SQL = {
     "v_dem": """
 SELECT l_orderkey * 8 + l_linenumber AS point_id,
@@ -166,11 +168,14 @@ _PACKED = dict(
 )
 
 
+_RAMPS = PALETTES | {"own": [(0.25, 0, 0.25, 1), (0.5, 0.5, 1, 0.5), (0.75, 1, 0.5, 0.25)]}
+
+
 def _coloured(palette: str, source: str) -> dict[str, str]:
     """CTEs that colour the distinct altitudes of a pixel set."""
     rows = ", ".join(
         f"({k}, CAST({v!r} AS DOUBLE), CAST({r!r} AS DOUBLE), CAST({g!r} AS DOUBLE), CAST({b!r} AS DOUBLE))"
-        for k, (v, r, g, b) in enumerate([tuple(float(c) for c in s) for s in PALETTES[palette]]))
+        for k, (v, r, g, b) in enumerate([tuple(float(c) for c in s) for s in _RAMPS[palette]]))
     blend = ", ".join(
         f"CAST(round_even(COALESCE((p.{c} - n.{c}) * ((v - n.val) / NULLIF(p.val - n.val, 0)) + n.{c},"
         f" n.{c}, l.{c}) * 255, 0) AS INTEGER) AS {name}"
@@ -399,6 +404,17 @@ def all_oracles() -> dict[str, str]:
         "hot_tiles": _with(["view_zoom"], """SELECT zoom, tile_x, tile_y, COUNT(*) AS n_requests FROM cover
             GROUP BY ALL ORDER BY n_requests DESC, zoom, tile_x, tile_y LIMIT 200""",
             **_cover("best", "view_zoom")),
+        "pixel_colour_custom": _pixel_colour("own"),
+        "sample_bernoulli_summary": """SELECT COUNT(*) > 0 AS share_ok, CAST(0 AS BIGINT) AS n_repeats,
+            CAST(0 AS BIGINT) AS n_strangers FROM lineitem""",
+        "odd_lines_bounded": _with(["dem"], "SELECT lat, lon, height FROM dem WHERE point_id % 11 > 6"),
+        "odd_gps_bounded": _with(["v_gps", "v_dem"], "SELECT lat, lon FROM v_dem WHERE point_id % 11 IN (4, 6, 7, 8, 9, 10)"),
+        "points_merge": _with(["v_gps"], f"""SELECT geohash, value FROM (
+            SELECT {_geohash('lat', 'lon', 6)} AS geohash, CAST(TRUNC(lat + lon) AS INTEGER) AS value,
+                   ROW_NUMBER() OVER (PARTITION BY {_geohash('lat', 'lon', 6)} ORDER BY point_id % 2 DESC, point_id DESC) AS rank
+            FROM v_gps) WHERE rank = 1"""),
+        "visit_pyramid": _with(["v_gps"], "SELECT zoom, gx, gy, COUNT(*) AS n FROM located GROUP BY ALL",
+                               located=_points_all(MAX_ZOOM, source="v_gps")),
         "pixel_colour_gps": _pixel_colour("gps"),
         "pixel_colour_rainbow": _pixel_colour("rainbow"),
         "pixel_colour_hotmap": _pixel_colour("hotmap"),

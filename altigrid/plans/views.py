@@ -35,6 +35,15 @@ class Inputs:
         height = F.when(F.col("point_id") % 53 == 0, "NA").otherwise(F.col("height").cast("string"))
         return self.dem().select(_csv(_milli("lat"), _milli("lon"), height))
 
+    def odd_lines(self) -> DataFrame:
+        """The readings as text, most kinds of bad line among them, by point_id."""
+        kind = F.col("point_id") % 11
+        lat = F.when(kind == 0, "NaN").when(kind == 1, "95.5").otherwise(_milli("lat"))
+        lon = F.when(kind == 2, "-190.25").when(kind == 3, "Infinity").otherwise(_milli("lon"))
+        height = F.when(kind == 4, "12.0").otherwise(F.col("height").cast("string"))
+        line = F.when(kind == 5, "").when(kind == 6, _csv(lat, lon)).otherwise(_csv(lat, lon, height))
+        return self.dem().select(line.alias("line"))
+
     def gps(self) -> DataFrame:
         """GPS points, one per event, with duplicates: point_id, lat, lon."""
         user, jitter = F.col("user_id"), F.col("event_id") % 5
