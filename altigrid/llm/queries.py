@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from altigrid.llm import jaccard_join, mixing, packing, page_differencing, preferences, quality, suffix_dedup, topk, toxicity, warc
 from altigrid.llm.common import table
+from altigrid.llm.oracles import llm_oracles
 
 
 def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +68,3 @@ def llm_queries() -> dict:
     )
     return {f.__name__: f for f in every}
 
-
-def llm_oracles() -> dict[str, str]:
-    return {"op4_preferences": preferences.ORACLE}
