@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 import numpy as np
-import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType

@@ -20,7 +20,6 @@ nothing. Columns other than doc_id and text pass through `cut` untouched.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np

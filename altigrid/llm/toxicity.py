@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -101,15 +102,22 @@ def fit(
         return Model(np.zeros(ROWS, np.float32), float(np.log((share + 1e-26) / (1 - share + 1e-26))), segment)
     rng = np.random.default_rng(7)
     index: dict[str, int] = {}
-    docs = [[index.setdefault(w, len(index)) for w in words_of(t) or [""]] for t in texts]
-    words, length = np.concatenate([np.array(d) for d in docs]), np.array([len(d) for d in docs])
-    rows = [grams(w) for w in index]
-    sizes = np.array([len(r) for r in rows])
-    flat, first = np.concatenate([np.array(r) for r in rows]), np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    word_of = np.repeat(np.arange(len(rows)), sizes)
+    held, ends = array("i"), []
+    for t in texts:
+        held.extend(index.setdefault(w, len(index)) for w in words_of(t) or [""])
+        ends.append(len(held))
+    words, length = np.frombuffer(held, np.int32), np.diff([0, *ends])
+    rows, ends = array("i"), []
+    for w in index:
+        rows.extend(grams(w))
+        ends.append(len(rows))
+    n_words = len(index)
+    index.clear()
+    flat, sizes = np.frombuffer(rows, np.int32), np.diff([0, *ends])
+    first, word_of = np.cumsum(sizes) - sizes, np.repeat(np.arange(n_words, dtype=np.int32), sizes)
     begin = np.concatenate([[0], np.cumsum(length)[:-1]])
     runs = -(-length // segment)
-    run_doc = np.repeat(np.arange(len(docs)), runs)
+    run_doc = np.repeat(np.arange(len(y)), runs)
     run_begin = begin[run_doc] + (np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)) * segment
     run_length = np.minimum(segment, (begin + length)[run_doc] - run_begin)
     run_first = np.cumsum(runs) - runs
@@ -120,9 +128,9 @@ def fit(
     table = rng.normal(0, 0.01, (ROWS, size))
     soft, bias = np.stack([np.full(size, -1.0), np.full(size, 1.0)]) / size**0.5, np.zeros(2)
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
-    mass = spread(np.bincount(words, minlength=len(rows)))
+    mass = spread(np.bincount(words, minlength=n_words))
     slow = np.sqrt(mass / mass.mean() + prior)
-    doc_picks = begin, length, np.arange(len(docs))
+    doc_picks = begin, length, np.arange(len(y))
     for step in range(warm + steps):
         lean = table @ (soft[1] - soft[0])
         value = np.add.reduceat(lean[flat], first) / sizes
@@ -138,7 +146,7 @@ def fit(
         inside = np.repeat(at - (np.cumsum(span) - span), span) + np.arange(span.sum())
         mean = np.add.reduceat(value[words[inside]], np.cumsum(span) - span) / span
         error = (1 / (1 + np.exp(-np.clip(mean + bias[1] - bias[0], -60, 60))) - y[owner]) * balance[owner]
-        per_row = spread(np.bincount(words[inside], np.repeat(error / span, span), len(rows)))
+        per_row = spread(np.bincount(words[inside], np.repeat(error / span, span), n_words))
         pull = table.T @ per_row
         table -= rate * (len(y) / slow * per_row)[:, None] * (soft[1] - soft[0])[None, :] + decay * table
         soft += 0.1 * np.stack([pull, -pull])
