@@ -10,7 +10,7 @@ GRAM = 32  # bytes of an anchor
 _RNG = np.random.default_rng(20)
 _BYTE = _RNG.integers(0, 2**64, 256, np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_ERA = 1 << 22
+_ERA = 1 << 21
 _POWERS = np.concatenate([[np.uint64(1)], np.cumprod(np.full(_ERA - 1, _BASE, np.uint64))])
 _INVERSE = np.concatenate([[np.uint64(1)], np.cumprod(np.full(_ERA - 1, np.uint64(pow(int(_BASE), -1, 1 << 64)), np.uint64))])
 

@@ -52,7 +52,7 @@ class ChunkIds:
     printable Latin-1; any other text is encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most

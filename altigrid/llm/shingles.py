@@ -15,7 +15,7 @@ WIDTH = 5
 class WordHashes(dict):
     """Cache of word hashes; emptied when full, so it stays small in any corpus."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 

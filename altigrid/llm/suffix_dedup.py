@@ -32,8 +32,8 @@ from altigrid.llm.induced_sort import repeated_starts
 
 SPAN = 100
 KEYS = ["did", "tie"]
-PIECE = 2_000_000  # bytes of text that are cut at once
-SHARD = 3_000_000  # bytes that are sorted together, unless one anchor has more
+PIECE = 1_000_000  # bytes of text that are cut at once
+SHARD = 1_500_000  # bytes that are sorted together, unless one anchor has more
 _SEGMENT = "did long, tie long, start long, starts long, anchor long, digest long, again boolean, covered boolean"
 
 

@@ -63,7 +63,7 @@ class Model:
     def value(self, word: str) -> float:
         found = self.cache.get(word)
         if found is None:
-            if len(self.cache) >= 500_000:
+            if len(self.cache) >= 200_000:
                 self.cache.clear()
             found = self.cache[word] = float(self.weight[grams(word)].mean())
         return found
