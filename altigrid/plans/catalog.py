@@ -281,6 +281,28 @@ def pyramid_size(i: Inputs) -> DataFrame:
     return tiles.pyramid_size(tiles.pack_tiles(_tile_pyramid(i)))
 
 
+def _dense_pyramid(i: Inputs) -> DataFrame:
+    return pyramid.pyramid(pixels.pixel_max(points.dem_bounds(i.dense()), MAX_ZOOM), MAX_ZOOM)
+
+
+@_query
+def tile_blob_dense(i: Inputs) -> DataFrame:
+    """Rasters of zooms 0 to 10 over full tiles."""
+    packed = tiles.pack_tiles(_dense_pyramid(i))
+    return packed.select("zoom", "geohash", "tile_x", "tile_y",
+                         F.length("tile").alias("n_bytes"), F.md5("tile").alias("digest"))
+
+
+@_query
+def tile_unpack_dense(i: Inputs) -> DataFrame:
+    return tiles.unpack_tiles(tiles.pack_tiles(_dense_pyramid(i)))
+
+
+@_query
+def pyramid_size_dense(i: Inputs) -> DataFrame:
+    return tiles.pyramid_size(tiles.pack_tiles(_dense_pyramid(i)))
+
+
 @_query
 def tiles_roundtrip(i: Inputs) -> DataFrame:
     """Recreate the table, write it, replace one zoom, read back a key range."""

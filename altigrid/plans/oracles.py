@@ -23,6 +23,12 @@ SELECT l_orderkey * 8 + l_linenumber AS point_id,
 FROM lineitem""",
     "dem": "SELECT * FROM v_dem WHERE lat >= -90 AND lat < 90 AND lon >= -180 AND lon < 180"
            " AND height >= 0 AND height <= 9000",
+    "dense": """
+SELECT CAST(450000 + (l_orderkey * 7919 + l_linenumber * 104729) % 10000 AS DOUBLE) / CAST(10000 AS DOUBLE) AS lat,
+       CAST(50000 + (l_partkey * 104729 + l_suppkey * 7919 + l_orderkey * 31) % 20000 AS DOUBLE)
+           / CAST(10000 AS DOUBLE) AS lon,
+       CAST((l_orderkey * 31 + l_partkey * 17 + l_linenumber * 101) % 9001 AS INTEGER) AS height
+FROM lineitem""",
     "v_gps": """
 SELECT event_id AS point_id,
        CAST((user_id * 7919 + (event_id % 5) * 13) % 180000 - 90000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS lat,
@@ -168,6 +174,8 @@ _PACKED = dict(
 )
 
 
+# The same of the dense readings, zooms 0..MAX_ZOOM.
+_DENSE = _PACKED | {"located": _points_all(MAX_ZOOM, source="dense")}
 _RAMPS = PALETTES | {"own": [(0.25, 0, 0.25, 1), (0.5, 0.5, 1, 0.5), (0.75, 1, 0.5, 0.25)]}
 
 
@@ -325,6 +333,12 @@ def all_oracles() -> dict[str, str]:
             located=_points_all(MEAN_ZOOM, side=1)),
         "tile_blob": _with(["dem"], """SELECT zoom, geohash, tile_x, tile_y,
             CAST(octet_length(tile) AS INTEGER) AS n_bytes, md5(tile) AS digest FROM tiles""", **_PACKED),
+        "tile_blob_dense": _with(["dense"], """SELECT zoom, geohash, tile_x, tile_y,
+            CAST(octet_length(tile) AS INTEGER) AS n_bytes, md5(tile) AS digest FROM tiles""", **_DENSE),
+        "tile_unpack_dense": _with(["dense"], f"SELECT zoom, {_TILE}, alt FROM ({_MAX})", located=_DENSE["located"]),
+        "pyramid_size_dense": _with(["dense"], """SELECT zoom, COUNT(*) AS n_tiles,
+            CAST(SUM(octet_length(tile)) AS BIGINT) AS n_bytes, CAST(2 * POW(4, zoom) AS BIGINT) AS full_tiles,
+            CAST(2 * 2 * 256 * 256 * POW(4, zoom) AS BIGINT) AS full_bytes FROM tiles GROUP BY zoom""", **_DENSE),
         "tiles_roundtrip": _with(["dem"], """SELECT zoom, geohash, tile_x, tile_y, md5(tile) AS digest
             FROM tiles""", **_PACKED),
         "tile_unpack": _with(["dem"], f"SELECT zoom, {_TILE}, alt FROM ({_MAX})", located=_points_all(TILE_ZOOM)),
