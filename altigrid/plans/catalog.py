@@ -293,6 +293,17 @@ def tile_blob_dense(i: Inputs) -> DataFrame:
                          F.length("tile").alias("n_bytes"), F.md5("tile").alias("digest"))
 
 
+@_query
+def stored_tile_lookup(i: Inputs) -> DataFrame:
+    """Tiles written once as a table, then looked up for every reading at one of the zooms."""
+    path = store.scratch_path(i.spark, "dense-tiles")
+    store.write_sorted_tiles(tiles.pack_tiles(_dense_pyramid(i), ranged=True), path)
+    zoom = (F.col("point_id") % 11).cast("int").alias("zoom")
+    asked = points.dem_bounds(i.dense()).select(F.col("point_id").alias("request_id"), "lat", "lon", zoom)
+    stored = store.read_tiles(i.spark, path).select("zoom", "tile_x", "tile_y", "geohash", F.md5("tile").alias("digest"))
+    return serving.tile_lookup(asked, stored).select("request_id", "zoom", "tile_x", "tile_y", "geohash", "digest")
+
+
 @_query
 def tile_unpack_dense(i: Inputs) -> DataFrame:
     return tiles.unpack_tiles(tiles.pack_tiles(_dense_pyramid(i)))

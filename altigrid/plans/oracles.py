@@ -24,7 +24,8 @@ FROM lineitem""",
     "dem": "SELECT * FROM v_dem WHERE lat >= -90 AND lat < 90 AND lon >= -180 AND lon < 180"
            " AND height >= 0 AND height <= 9000",
     "dense": """
-SELECT CAST(450000 + (l_orderkey * 7919 + l_linenumber * 104729) % 10000 AS DOUBLE) / CAST(10000 AS DOUBLE) AS lat,
+SELECT l_orderkey * 8 + l_linenumber AS point_id,
+       CAST(450000 + (l_orderkey * 7919 + l_linenumber * 104729) % 10000 AS DOUBLE) / CAST(10000 AS DOUBLE) AS lat,
        CAST(50000 + (l_partkey * 104729 + l_suppkey * 7919 + l_orderkey * 31) % 20000 AS DOUBLE)
            / CAST(10000 AS DOUBLE) AS lon,
        CAST((l_orderkey * 31 + l_partkey * 17 + l_linenumber * 101) % 9001 AS INTEGER) AS height
@@ -335,6 +336,10 @@ def all_oracles() -> dict[str, str]:
             CAST(octet_length(tile) AS INTEGER) AS n_bytes, md5(tile) AS digest FROM tiles""", **_PACKED),
         "tile_blob_dense": _with(["dense"], """SELECT zoom, geohash, tile_x, tile_y,
             CAST(octet_length(tile) AS INTEGER) AS n_bytes, md5(tile) AS digest FROM tiles""", **_DENSE),
+        "stored_tile_lookup": _with(["dense"], """SELECT request_id, a.zoom, tile_x, tile_y, geohash, md5(tile) AS digest
+            FROM asked a JOIN tiles t USING (zoom, tile_x, tile_y)""", **_DENSE, asked="""
+            SELECT point_id AS request_id, zoom, {} AS tile_x, {} AS tile_y
+            FROM (SELECT *, CAST(point_id % 11 AS INTEGER) AS zoom FROM dense)""".format(*_pixel("zoom", 1))),
         "tile_unpack_dense": _with(["dense"], f"SELECT zoom, {_TILE}, alt FROM ({_MAX})", located=_DENSE["located"]),
         "pyramid_size_dense": _with(["dense"], """SELECT zoom, COUNT(*) AS n_tiles,
             CAST(SUM(octet_length(tile)) AS BIGINT) AS n_bytes, CAST(2 * POW(4, zoom) AS BIGINT) AS full_tiles,

@@ -31,11 +31,12 @@ class Inputs:
         )
 
     def dense(self) -> DataFrame:
-        """The same readings drawn together on two square degrees, so that fine tiles are full: lat, lon, height."""
+        """The same readings drawn together on two square degrees, so that fine tiles are full."""
         order, line = F.col("l_orderkey"), F.col("l_linenumber").cast("bigint")
         part, supp = F.col("l_partkey"), F.col("l_suppkey")
         near = lambda corner, number, span: (corner * 10000 + number % span).cast("double") / F.lit(10000.0)
         return self.table("lineitem").select(
+            (order * 8 + line).alias("point_id"),
             near(F.lit(45), order * 7919 + line * 104729, 10000).alias("lat"),
             near(F.lit(5), part * 104729 + supp * 7919 + order * 31, 20000).alias("lon"),
             ((order * 31 + part * 17 + line * 101) % 9001).cast("int").alias("height"),
