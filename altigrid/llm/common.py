@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow.compute as pc
@@ -57,6 +58,16 @@ def wider(df: DataFrame, columns: dict[str, str]) -> StructType:
     return StructType([*df.schema.fields, *more.fields])
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, clear: Callable[[], None]) -> None:
+    """Tell that this Python worker's memory is for one operator's cache now; others are emptied."""
+    for other in [n for n in _HELD if n != name]:
+        _HELD.pop(other)()
+    _HELD[name] = clear
+
+
 def small_batches(batches, column: str, most: int = 4_000_000):
     """Cut Arrow batches so that the texts of each have about `most` bytes.
 

@@ -29,8 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from altigrid.llm.common import components, mix64, saved, small_batches
-from altigrid.llm.shingles import set_digest, shingle_set
+from altigrid.llm.common import components, hold, mix64, saved, small_batches
+from altigrid.llm.shingles import forget_words, set_digest, shingle_set
 
 BINS = 128
 SIGMAS = 5.0
@@ -72,6 +72,7 @@ def _sets(docs: DataFrame, similarity: float, runs: int) -> DataFrame:
     seeds = mix64(np.arange(1, runs + 1, dtype=np.uint64))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("words", forget_words)
         for batch in small_batches(batches, "text"):
             sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([

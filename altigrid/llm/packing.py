@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from altigrid.llm.common import saved, small_batches, wider
+from altigrid.llm.common import hold, saved, small_batches, wider
 
 CAPACITY = 4096
 END = 1
@@ -96,6 +96,9 @@ class ChunkIds:
             self.parts = {}
         return out
 
+    def clear(self) -> None:
+        self.chunks, self.parts = {"": b""}, {}
+
 
 def chunk_ids(path: str) -> ChunkIds:
     """One cache for each Python worker and vocabulary."""
@@ -120,7 +123,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready, part, seen = chunk_ids(path), TaskContext.get().partitionId(), Counter()
-        for batch in small_batches(batches, "text"):
+        hold("chunks", ready.clear)
+        for batch in small_batches(batches, "text", 1_000_000):
             out = [[] for _ in range(7 + with_ids)]
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ready.of(batch.column("text").to_pylist())):
                 ids += END.to_bytes(4, "little")

@@ -29,6 +29,10 @@ class WordHashes(dict):
 _HASHES = WordHashes()
 
 
+def forget_words() -> None:
+    _HASHES.clear()
+
+
 def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct hashes of the runs of `width` words (lower case, by white space).
 

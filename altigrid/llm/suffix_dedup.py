@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from altigrid.llm.anchors import segments
-from altigrid.llm.common import saved, small_batches, wider
+from altigrid.llm.common import hold, saved, small_batches, wider
 from altigrid.llm.induced_sort import repeated_starts
 
 SPAN = 100
@@ -68,6 +68,7 @@ def _cut_segments(docs: DataFrame, span: int) -> DataFrame:
     """All segments; those that repeat another of the same batch are marked covered."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("segments", lambda: None)
         for part in _pieces(batches, span):
             data = np.frombuffer(b"".join(p[3] for p in part), np.uint8)
             bounds = np.cumsum([0, *(len(p[3]) for p in part)])
@@ -225,10 +226,13 @@ def removed_runs(spans: list[dict], span: int) -> list[tuple[int, int]]:
 
 
 def cut(docs: DataFrame, span: int = SPAN) -> DataFrame:
-    """docs with the columns _kept (remaining bytes), _bytes, _removed and _spans."""
+    """docs with the columns _kept (remaining bytes), _new (the same as text), _bytes, _removed and _spans.
+
+    A cut may fall inside a character; its loose bytes are left out of _new.
+    """
     known = keyed(docs)
     marked = known.join(repeats(known, span), KEYS, "left").drop(*KEYS)
-    schema = wider(docs, {"_kept": "binary", "_bytes": "long", "_removed": "long", "_spans": "long"})
+    schema = wider(docs, {"_kept": "binary", "_new": "string", "_bytes": "long", "_removed": "long", "_spans": "long"})
     columns = docs.columns
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,8 +247,8 @@ def cut(docs: DataFrame, span: int = SPAN) -> DataFrame:
                 gone.append(sum(b - a for a, b in runs))
                 counts.append(len(runs))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), pa.array(kept, pa.binary()), *(pa.array(c, pa.int64()) for c in (sizes, gone, counts))],
-                names=[*columns, "_kept", "_bytes", "_removed", "_spans"],
+                [*(batch.column(c) for c in columns), pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()), *(pa.array(c, pa.int64()) for c in (sizes, gone, counts))],
+                names=[*columns, "_kept", "_new", "_bytes", "_removed", "_spans"],
             )
 
     return marked.mapInArrow(apply, schema)
@@ -261,18 +265,11 @@ def removals(docs: DataFrame, span: int = SPAN) -> DataFrame:
 def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """docs with repeated passages cut out of their text, and n_chars set anew where there is such a column.
 
-    A cut may fall inside a character; its loose bytes go too, as text has to
-    stay text. Documents of which nothing but white space is left go as a whole,
+    Documents of which nothing but white space is left go as a whole,
     if they lost anything.
     """
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "_kept"):
-            yield batch.append_column("_new", pa.array([k.decode("utf-8", "ignore") for k in batch.column("_kept").to_pylist()], pa.string()))
-
-    done = cut(docs, span)
-    short = done.drop("_bytes", "_spans")
-    fresh = short.mapInArrow(decode, wider(short, {"_new": "string"}))
+    fresh = cut(docs, span)
     left = fresh.where("_removed = 0 OR _new RLIKE '[^\\\\s]'")
     text = F.when(F.col("_removed") > 0, F.col("_new")).otherwise(F.col("text"))
     changed = {"text": text} | ({"n_chars": F.when(F.col("_removed") > 0, F.length("_new").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from altigrid.llm.common import small_batches, wider
+from altigrid.llm.common import hold, small_batches, wider
 
 WORD = re.compile(r"[^\W_]+(?:['’*@$!0-9_-]+[^\W_]+)*")
 ROWS = 1 << 16
@@ -181,6 +181,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = sent.value
+        hold("toxicity", ready.cache.clear)
         for batch in small_batches(batches, "text"):
             scores = pa.array([ready.score(t) for t in batch.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, column])
@@ -195,6 +196,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = sent.value
+        hold("toxicity", ready.cache.clear)
         for batch in small_batches(batches, "text"):
             scores = pa.array([ready.score(t) for t in batch.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], names=["doc_id", "score"])
