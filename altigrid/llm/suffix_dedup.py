@@ -37,15 +37,17 @@ SHARD = 1_500_000  # bytes that are sorted together, unless one anchor has more
 _SEGMENT = "did long, tie long, start long, starts long, anchor long, digest long, again boolean, covered boolean"
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """Adds did and tie, which name a document; tie is 0 unless rows share a doc_id."""
+def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs with did and tie, which name a document (tie is 0 unless rows share a doc_id), and each document's text once."""
     did = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     named = docs.withColumn("did", did)
     shared = named.groupBy("did").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("did", F.lit(True).alias("_shared"))
     if not shared.limit(1).count():
-        return named.withColumn("tie", F.lit(0).cast("long"))
+        single = named.withColumn("tie", F.lit(0).cast("long"))
+        return single, single
     tie = F.when(F.col("_shared"), F.xxhash64(F.coalesce("text", F.lit("")))).otherwise(F.lit(0).cast("long"))
-    return named.join(shared, "did", "left").withColumn("tie", tie).drop("_shared")
+    known = named.join(shared, "did", "left").withColumn("tie", tie).drop("_shared")
+    return known, known.select(*KEYS, "text").dropDuplicates(KEYS)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], span: int):
@@ -170,7 +172,7 @@ def _sorted_repeats(texts: DataFrame, span: int) -> DataFrame:
     """Runs of covered window starts inside the sorted segments: (did, tie, start, starts)."""
 
     def shard(rows: list[tuple]) -> pa.RecordBatch:
-        rows = sorted(set(rows))  # by document and place, so position is order of occurrence; repeated rows once
+        rows = sorted(rows)  # by document and place, so position is order of occurrence
         lengths = np.array([len(r[4]) for r in rows])
         begin = np.cumsum(lengths + 1) - lengths - 1
         symbols = np.ones(int(lengths.sum()) + len(rows) + 1, np.int32)
@@ -206,7 +208,7 @@ def _sorted_repeats(texts: DataFrame, span: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
-    """For documents with keys: (did, tie, spans), spans a list of (start, starts) of covered windows."""
+    """For documents with keys, each once: (did, tie, spans), spans a list of (start, starts) of covered windows."""
     judged = saved(_resolve(_cut_segments(docs, span)))
     rest = judged.where("NOT covered")
     found = _sorted_repeats(_texts(docs, rest, span), span)
@@ -230,8 +232,8 @@ def cut(docs: DataFrame, span: int = SPAN) -> DataFrame:
 
     A cut may fall inside a character; its loose bytes are left out of _new.
     """
-    known = keyed(docs)
-    marked = known.join(repeats(known, span), KEYS, "left").drop(*KEYS)
+    known, once = keyed(docs)
+    marked = known.join(repeats(once, span), KEYS, "left").drop(*KEYS)
     schema = wider(docs, {"_kept": "binary", "_new": "string", "_bytes": "long", "_removed": "long", "_spans": "long"})
     columns = docs.columns
 
