@@ -9,6 +9,7 @@ from altigrid.llm.common import mix64
 GRAM = 32  # bytes of an anchor
 _RNG = np.random.default_rng(20)
 _BYTE = _RNG.integers(0, 2**64, 256, np.uint64)
+_OTHER = _RNG.integers(0, 2**64, 256, np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _ERA = 1 << 21
 _POWERS = np.concatenate([[np.uint64(1)], np.cumprod(np.full(_ERA - 1, _BASE, np.uint64))])
@@ -77,3 +78,12 @@ def segments(data: np.ndarray, bounds: np.ndarray, span: int) -> tuple[np.ndarra
     again = (ties[stop] > ties[begin]) | (stop - begin > span - GRAM + 1)
     text = np.searchsorted(bounds, begin, side="right") - 1
     return text, begin - bounds[text], stop - begin, anchors[begin], digest, again
+
+
+def window_hashes(data: np.ndarray, at: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of all `span` bytes from each place in `at`. At most _ERA bytes at once."""
+    out = []
+    for table in (_BYTE, _OTHER):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(table[data] * _POWERS[:len(data)], dtype=np.uint64)])
+        out.append(mix64((sums[at + span] - sums[at]) * _INVERSE[at]))
+    return out[0], out[1]

@@ -7,7 +7,10 @@ Windows of `span` bytes are dealt to shards by their anchor (the smallest gram
 hash in the window), so equal windows meet whatever surrounds them. Runs of
 windows with one anchor are segments. Segments of equal bytes are sorted once,
 for their first occurrence; all later ones are covered by it. An anchor that
-only one text of segment has is sorted only if it could repeat inside itself. What
+only one text of segment has is sorted only if it could repeat inside itself. An
+anchor with more than SHARD bytes of distinct segments (a hot passage in many
+surroundings) is dealt anew, window by window, by hashes of the whole window:
+equal windows still meet, others part, so no shard grows with an anchor. What
 remains is suffix-sorted, shard by shard, by induced sorting with common prefixes
 (`induced_sort`), whose queues go to disk beyond a limit: windows with a common
 prefix of `span` are equal, and all but the first are covered.
@@ -26,14 +29,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from altigrid.llm.anchors import segments
+from altigrid.llm.anchors import segments, window_hashes
 from altigrid.llm.common import hold, saved, small_batches, wider
 from altigrid.llm.induced_sort import repeated_starts
 
 SPAN = 100
 KEYS = ["did", "tie"]
 PIECE = 1_000_000  # bytes of text that are cut at once
-SHARD = 1_500_000  # bytes that are sorted together, unless one anchor has more
+SHARD = 1_500_000  # bytes that are sorted together, and most of one anchor
 _SEGMENT = "did long, tie long, start long, starts long, anchor long, digest long, again boolean, covered boolean"
 
 
@@ -168,6 +171,42 @@ def _texts(docs: DataFrame, rest: DataFrame, span: int) -> DataFrame:
     )
 
 
+def _windows(texts: DataFrame, span: int) -> DataFrame:
+    """The windows of segments as segments of their own, with a hash of all their bytes as anchor."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "bytes", PIECE):
+            data = np.frombuffer(b"".join(batch.column("bytes").to_pylist()), np.uint8)
+            did, tie, start, starts = (np.asarray(batch.column(c)) for c in (*KEYS, "start", "starts"))
+            own = np.repeat(np.arange(len(starts)), starts)
+            nth = np.arange(len(own)) - (np.cumsum(starts) - starts)[own]
+            length = starts + span - 1
+            anchor, digest = window_hashes(data, (np.cumsum(length) - length)[own] + nth, span)
+            did, tie, start = did[own], tie[own], start[own] + nth
+            order = np.lexsort((start, tie, did, digest, anchor))
+            a, d = anchor[order], digest[order]
+            covered = np.zeros(len(order), bool)
+            covered[order[1:]] = (a[1:] == a[:-1]) & (d[1:] == d[:-1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (did, tie, start, np.ones(len(own), np.int64), anchor.view(np.int64), digest.view(np.int64), np.zeros(len(own), bool), covered)],
+                names=["did", "tie", "start", "starts", "anchor", "digest", "again", "covered"],
+            )
+
+    return texts.mapInArrow(split, _SEGMENT)
+
+
+def _apart(docs: DataFrame, judged: DataFrame, span: int) -> DataFrame:
+    """judged with the segments of anchors beyond SHARD bytes replaced by their windows, judged again."""
+    rest = judged.where("NOT covered")
+    size = F.sum(F.col("starts") + (span - 1))
+    hot = rest.groupBy("anchor").agg(size.alias("_size")).where(F.col("_size") > SHARD).select("anchor", F.lit(True).alias("_hot"))
+    if not hot.limit(1).count():
+        return judged
+    marked = rest.join(hot, "anchor", "left").select(*judged.columns, "_hot")
+    split = saved(_resolve(_windows(_texts(docs, marked.where("_hot"), span), span)))
+    return judged.where("covered").unionByName(marked.where("_hot IS NULL").drop("_hot")).unionByName(split)
+
+
 def _sorted_repeats(texts: DataFrame, span: int) -> DataFrame:
     """Runs of covered window starts inside the sorted segments: (did, tie, start, starts)."""
 
@@ -209,7 +248,7 @@ def _sorted_repeats(texts: DataFrame, span: int) -> DataFrame:
 
 def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """For documents with keys, each once: (did, tie, spans), spans a list of (start, starts) of covered windows."""
-    judged = saved(_resolve(_cut_segments(docs, span)))
+    judged = _apart(docs, saved(_resolve(_cut_segments(docs, span))), span)
     rest = judged.where("NOT covered")
     found = _sorted_repeats(_texts(docs, rest, span), span)
     every = judged.where("covered").select(*KEYS, "start", "starts").unionByName(found)
