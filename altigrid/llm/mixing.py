@@ -1,35 +1,43 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 Each source's documents, in the order of a hash, are cut into blocks of
-`block_docs`. Block j (from 0) of a source with weight w is released at slot
-floor(j / w) and due before slot ceil((j + 1) / w). Earliest deadline first over
-the released blocks gives each slot one block and keeps every source less than
-one block from w * slots at all times. Weights are whole parts of `period`, so
-the schedule repeats after that many slots: only one period is planned, and the
-slot of any block follows by arithmetic. When a source runs out, the weights
-of the others are scaled up and a new phase begins, so no document is left out or
-repeated; the last phase is the rest of the last source.
-
-The plan covers at most `most_sources` sources: all beyond the largest are
-mixed as one. So it has at most most_sources * period rows at any corpus size.
+`block_docs`. The ideal mix gives every source its weight's share of each slot,
+and when a source runs out the others' shares are scaled up. Block j (from 0) of a
+source is released at the slot in which the ideal mix begins it and due before
+the slot after that in which the ideal mix ends it: floor(j / w) and
+ceil((j + 1) / w) while all sources run. Earliest deadline first over the released
+blocks gives each slot one block and keeps every source less than one block from
+the ideal at all times. Weights are taken as the exact fractions that they are;
+nothing is rounded, no source is pooled, no document is left out or repeated.
+
+Let V be the blocks that the ideal mix has given per unit of weight. Then a source of
+b blocks and weight w has got min(V * w, b), so the slot at V is the sum of these,
+and release and deadline follow by arithmetic. The driver holds one entry per source
+and steps through the slots in order; the plan is written `chunk` slots at a
+time and meets the documents in a join.
 
 Null source is a source of its own. Rows with equal or null doc_id are documents
 each. An empty table gives an empty result; weights of sources without documents
 are ignored, sources without a weight (or with one of 0 or null) get the smallest
-part. Other columns pass through.
+weight divided by `period`. `most_sources` bounds nothing any more. Other columns pass through.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
+from fractions import Fraction
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from altigrid.llm.common import saved, wider
+from altigrid.llm.common import saved, scratch, wider
 
 
 def parts_of(weights: list[float], period: int) -> list[int]:
@@ -42,44 +50,58 @@ def parts_of(weights: list[float], period: int) -> list[int]:
     return (parts + 1).tolist()
 
 
-def schedule(parts: list[int]) -> list[int]:
-    """Source of each slot of one period, by earliest deadline among released blocks."""
-    period = sum(parts)
-    waiting = [(0, s, 0) for s in range(len(parts))]  # release, source, block
+def slots(blocks: list[int], weights: list) -> Iterator[int]:
+    """Source of each slot until all blocks are placed, by earliest deadline among released blocks."""
+    exact = [Fraction(w) for w in weights]
+    scale = math.lcm(*(w.denominator for w in exact)) if exact else 1
+    parts = [int(w * scale) for w in exact]
+    order = sorted((s for s in range(len(blocks)) if blocks[s]), key=lambda s: Fraction(blocks[s], parts[s]))
+    ends = [(blocks[s], parts[s]) for s in order]  # the order in which sources run out
+    done = [0, *accumulate(b for b, _ in ends)]
+    live = [*accumulate((w for _, w in reversed(ends)), initial=0)][::-1]
+    at = [0] * len(blocks)  # per source: how many others had run out at its last block
+
+    def ideal(s: int, j: int) -> tuple[int, int]:
+        """Slot at which the ideal mix begins block j of s, rounded down and up."""
+        w, i = parts[s], at[s]
+        if i < len(ends) and ends[i][0] * w <= j * ends[i][1]:
+            i = at[s] = bisect_right(ends, False, lo=i + 1, key=lambda e: e[0] * w > j * e[1])
+            # the first end beyond j: keys are False, then True
+        whole, rest = divmod(j * live[i], w)
+        return done[i] + whole, done[i] + whole + (rest > 0)
+
+    waiting = [(0, s, 0) for s in range(len(blocks)) if blocks[s]]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int]] = []
-    out = []
-    for slot in range(period):
+    for slot in range(sum(blocks)):
         while waiting and waiting[0][0] <= slot:
             _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * period // parts[s]), s, j))
+            heapq.heappush(ready, (ideal(s, j + 1)[1], s, j))
         _, s, j = heapq.heappop(ready)
-        out.append(s)
-        if j + 1 < parts[s]:
-            heapq.heappush(waiting, ((j + 1) * period // parts[s], s, j + 1))
-    return out
-
-
-def phases(blocks: list[int], weights: list[float], period: int) -> list[dict]:
-    """Until all blocks are placed: which sources run, their first block and slot, and their slots in a period.
-
-    A phase lasts until its first source has no block left.
-    """
-    left, done, slot, out = list(blocks), [0] * len(blocks), 0, []
-    while any(left):
-        live = [s for s in range(len(left)) if left[s]]
-        parts = parts_of([weights[s] for s in live], max(period, len(live)))
-        order = schedule(parts)
-        places = {s: [t for t, k in enumerate(order) if live[k] == s] for s in live}
-        length = sum(parts)
-        ends = min((left[s] - 1) // len(places[s]) * length + places[s][(left[s] - 1) % len(places[s])] for s in live) + 1
-        for s in live:
-            used = ends // length * len(places[s]) + int(np.searchsorted(places[s], ends % length))
-            out.append({"source": s, "first": done[s], "n": used, "slot": slot, "length": length, "places": places[s]})
-            left[s] -= used
-            done[s] += used
-        slot += ends
-    return out
+        yield s
+        if j + 1 < blocks[s]:
+            heapq.heappush(waiting, (ideal(s, j + 1)[0], s, j + 1))
+
+
+def schedule(parts: list[int]) -> list[int]:
+    """Source of each slot of one period in which each source has as many blocks as its weight."""
+    return list(slots(parts, parts))
+
+
+def _planned(spark: SparkSession, blocks: list[int], weights: list, chunk: int) -> DataFrame:
+    """(_group, _block, _slot) of every block, written chunk by chunk."""
+    path, seen, first = f"{scratch(spark)}/{uuid.uuid4().hex}", np.zeros(len(blocks), np.int64), 0
+    names, stream = ["_group", "_block", "_slot"], slots(blocks, weights)
+    while len(group := np.fromiter(islice(stream, chunk), np.int32)):
+        order = np.argsort(group, kind="stable")
+        own, n = np.unique(group, return_counts=True)
+        block = np.empty(len(group), np.int64)
+        block[order] = np.arange(len(group)) + np.repeat(seen[own] - (np.cumsum(n) - n), n)
+        seen[own] += n
+        columns = [pa.array(group), pa.array(block), pa.array(np.arange(first, first + len(group)))]
+        spark.createDataFrame(pa.Table.from_arrays(columns, names=names)).write.mode("append").parquet(path)
+        first += len(group)
+    return spark.read.schema("_group int, _block long, _slot long").parquet(path)
 
 
 def _numbered(docs: DataFrame, seed: int) -> DataFrame:
@@ -111,49 +133,32 @@ def tempered(counts: dict, power: float = 0.7) -> dict:
 
 def mix(
     docs: DataFrame, weights: dict | None = None, key: str = "source", block_docs: int = 16,
-    period: int = 1000, most_sources: int = 200, seed: int = 0,
+    period: int = 1000, most_sources: int = 200, seed: int = 0, chunk: int = 1_000_000,
 ) -> DataFrame:
-    """docs with _slot (block in the mix), _place (from 0, in the block) and _mixed_as (null: pooled sources or null)."""
-    sizes = docs.groupBy(key).count().orderBy(F.col("count").desc(), key).limit(most_sources).collect()
-    named = [r[key] for r in sizes]
-    total = docs.count()
-    if not total:
+    """docs with _slot (block in the mix), _place (from 0, in the block) and _mixed_as (the source)."""
+    sizes = docs.groupBy(key).count().orderBy(F.col("count").desc(), key).collect()  # one row per source
+    if not sizes:
         return docs.withColumns({"_slot": F.lit(0).cast("long"), "_place": F.lit(0), "_mixed_as": F.col(key)})
-    pooled = total - sum(r["count"] for r in sizes)
-    counts = {i: r["count"] for i, r in enumerate(sizes)} | ({len(sizes): pooled} if pooled else {})
-    if weights is None:
-        wanted = list(tempered(counts).values())
-    else:
-        wanted = [weights.get(named[i]) if i < len(named) else None for i in counts]
-    least = min((w for w in wanted if w), default=1.0) / period
-    plan = phases([-(-n // block_docs) for n in counts.values()], [w if w else least for w in wanted], period)
+    counts = {i: r["count"] for i, r in enumerate(sizes)}
+    wanted = list(tempered(counts).values()) if weights is None else [weights.get(r[key]) for r in sizes]
+    least = Fraction(min((w for w in wanted if w), default=1.0)) / period
 
     spark = docs.sparkSession
-    index = spark.createDataFrame([(named[i], i) for i in range(len(named))], wider(docs.select(key), {"_group": "int"}))
-    pairs = F.broadcast(index.withColumnRenamed(key, "_name"))  # at most most_sources rows
-    grouped = docs.join(pairs, docs[key].eqNullSafe(F.col("_name")), "left").drop("_name").withColumn("_group", F.coalesce("_group", F.lit(len(named))))
+    plan = _planned(spark, [-(-n // block_docs) for n in counts.values()], [w if w else least for w in wanted], chunk)
+    index = spark.createDataFrame([(r[key], i) for i, r in enumerate(sizes)], wider(docs.select(key), {"_group": "int"}))
+    pairs = index.withColumnRenamed(key, "_name")
+    pairs = F.broadcast(pairs) if len(sizes) <= 100_000 else pairs  # how, not what: more are joined by shuffle
+    grouped = docs.join(pairs, docs[key].eqNullSafe(F.col("_name")), "left").drop("_name")
     numbered = saved(_numbered(grouped, seed))
     before = numbered.groupBy("_group", "_part").agg((F.max("_nth") + 1).alias("_n")).select(
         "_group", "_part", F.coalesce(F.sum("_n").over(W.partitionBy("_group").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before")
     )
-    own = {g: [p for p in plan if p["source"] == k] for k, g in enumerate(counts)}
-
-    def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            group, rank = np.asarray(batch.column("_group")), np.asarray(batch.column("_nth")) + np.asarray(batch.column("_before"))
-            block, slot = rank // block_docs, np.zeros(len(group), np.int64)
-            for g in np.unique(group):
-                for p in own[int(g)]:
-                    at = np.flatnonzero((group == g) & (block >= p["first"]) & (block < p["first"] + p["n"]))
-                    turn, k = np.divmod(block[at] - p["first"], len(p["places"]))
-                    slot[at] = p["slot"] + turn * p["length"] + np.array(p["places"])[k]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(slot), pa.array(rank % block_docs, pa.int32())], names=[*batch.schema.names, "_slot", "_place"]
-            )
-
-    ranked = numbered.join(before, ["_group", "_part"])
-    placed = ranked.mapInArrow(seek, wider(ranked, {"_slot": "long", "_place": "int"}))
-    return placed.withColumn("_mixed_as", F.when(F.col("_group") < len(named), F.col(key))).drop("_group", "_part", "_nth", "_before")
+    rank = F.col("_nth") + F.col("_before")
+    ranked = numbered.join(before, ["_group", "_part"]).withColumns({
+        "_block": F.expr(f"(_nth + _before) div {block_docs}"), "_place": (rank % block_docs).cast("int"),
+    })
+    placed = ranked.join(plan, ["_group", "_block"])
+    return placed.select(*docs.columns, "_slot", "_place", F.col(key).alias("_mixed_as"))
 
 
 def in_order(docs: DataFrame, **options) -> DataFrame:
