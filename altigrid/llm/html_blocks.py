@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|textarea|select|head)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    # Closed before another of its kind begins, or else up to the next block of the body.
+    r"|<(?P<skip>noscript|template|svg|iframe|object|textarea|select|title)\b[^>]*>"
+    r"(?:(?:[^<]+|<(?!/?(?P=skip)\b))*+</(?P=skip)\s*>|(?:[^<]+|<(?!/?(?:address|article|aside|blockquote|body|center|div|dl|fieldset|figure|footer|form"
+    r"|h[1-6]|head|header|hr|html|main|menu|nav|ol|p|pre|section|table|ul)\b))*+)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>"
     r"|(?P<text>[^<]+|<)",
@@ -16,7 +21,7 @@ _TOKEN = re.compile(
 )
 _BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
-    "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th "
+    "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th "
     "thead title tr ul".split()
 )
 _ASIDE = frozenset("nav header footer aside form menu dialog button".split())
@@ -29,6 +34,16 @@ _NAMES = frozenset(
     "share sharing social related recommended newsletter subscribe subscription signup login search popup modal overlay widget widgets toolbar "
     "pagination pager complementary contentinfo form".split()
 )
+_APART = frozenset("ad ads advert adverts advertisement comment promo recommended related reply sponsored".split())  # also on an article
+# What the start of a tag closes, and where the search for it ends, if end tags are left out.
+_ENDS_P = _BLOCK - frozenset("body button caption dd dt head html legend li option summary tbody td tfoot th thead title tr".split())
+_ROW, _PART = frozenset("td th tr".split()), frozenset("thead tbody tfoot td th tr".split())
+_CELL, _TABLE = frozenset("td th caption".split()), _PART | {"table", "caption", "body", "html"}
+_IMPLIED = {
+    "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, set()),
+    "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": (_ROW, {"table"}),
+    "tbody": (_PART, {"table"}), "thead": (_PART, {"table"}), "tfoot": (_PART, {"table"}),
+}
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -42,33 +57,128 @@ class Block(NamedTuple):
 def _is_aside(tag: str, rest: str) -> bool:
     if tag in _ASIDE or (rest and _HIDDEN.search(rest) is not None):
         return True
-    if not rest or tag in ("html", "body", "article", "main", "a", "span"):
+    if not rest or tag in ("html", "body", "main", "a", "span"):
         return False
-    return any(_NAMES.intersection(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(m)).lower())) for m in _ATTRIBUTE.findall(rest))
+    names = _APART if tag == "article" else _NAMES
+    return any(names.intersection(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(m)).lower())) for m in _ATTRIBUTE.findall(rest))
+
+
+class _Open:
+    """Open elements, outermost first, as (tag, aside, number of the token)."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, int]] = []
+        self.count: Counter = Counter()
+        self.aside = self.article = 0
+
+    def push(self, tag: str, aside: bool, at: int) -> None:
+        self.stack.append((tag, aside, at))
+        self.count[tag] += 1
+        self.aside += aside
+        self.article += tag in ("article", "main")
+
+    def pop(self) -> tuple[str, bool, int]:
+        last = self.stack.pop()
+        self.count[last[0]] -= 1
+        self.aside -= last[1]
+        self.article -= last[0] in ("article", "main")
+        return last
+
+    def imply(self, tag: str) -> None:
+        """Close what the start of a tag closes without an end tag."""
+        if tag in _ENDS_P and self.count["p"]:
+            k = len(self.stack) - 1
+            while k >= 0 and self.stack[k][0] not in _BLOCK:
+                k -= 1
+            if k >= 0 and self.stack[k][0] == "p":
+                del_to(self, k)
+        if tag in _IMPLIED:
+            closes, bounds = _IMPLIED[tag]
+            if any(self.count[c] for c in closes):
+                lowest = None
+                for k in range(len(self.stack) - 1, -1, -1):
+                    if self.stack[k][0] in bounds:
+                        break
+                    if self.stack[k][0] in closes:
+                        lowest = k
+                if lowest is not None:
+                    del_to(self, lowest)
+
+    def end(self, tag: str) -> int | None:
+        """Close the innermost element of the tag and all inside it: its number, if there is one.
+
+        An inline tag closes no block, and a block in a cell of a table nothing outside of the cell.
+        """
+        if not self.count[tag]:
+            return None
+        for k in range(len(self.stack) - 1, -1, -1):
+            own, _, at = self.stack[k]
+            if own == tag:
+                del_to(self, k)
+                return at
+            if (own in _BLOCK and tag not in _BLOCK) or (own in _CELL and tag not in _TABLE):
+                return None
+        return None
+
+    def leave(self, closed: set[int]) -> None:
+        """An article begins: asides that were left open before it end, those that it lies in stay.
+
+        A menu or header never holds the article; others hold it if each open
+        element of their tag, from the outermost to them, gets its end tag.
+        """
+        first = next(tag for tag, aside, _ in self.stack if aside)
+        doubtful = {"nav", "header"}
+        for k, (tag, aside, at) in enumerate(self.stack):
+            if at not in closed:
+                doubtful.add(tag)
+            if aside and (tag in doubtful or first in ("nav", "header")):
+                self.stack[k] = (tag, False, at)
+                self.aside -= 1
+
+
+def del_to(opened: _Open, k: int) -> None:
+    while len(opened.stack) > k:
+        opened.pop()
+
+
+def _closed(page: str) -> set[int]:
+    """Numbers of the tokens whose elements get an end tag of their own."""
+    opened, out = _Open(), set()
+    for at, m in enumerate(_TOKEN.finditer(page)):
+        if m["tag"] is None:
+            continue
+        tag = m["tag"].lower()
+        if m["end"]:
+            if (start := opened.end(tag)) is not None:
+                out.add(start)
+        elif (tag in _BLOCK or tag == "span") and tag not in _VOID:
+            opened.imply(tag)
+            opened.push(tag, False, at)
+    return out
 
 
 def blocks(page: str | None) -> list[Block]:
     """Blocks of a page in order; white space inside is one space, character references are decoded."""
     out: list[Block] = []
     held: list[str] = []
-    aside: list[str] = []  # open tags from the outermost aside element on
-    article = 0
+    opened = _Open()
+    closed: set[int] | None = None
 
     def flush() -> None:
         if held:
             text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
             if text:
-                out.append(Block(text, bool(aside), article > 0))
+                out.append(Block(text, opened.aside > 0, opened.article > 0))
             held.clear()
 
-    for m in _TOKEN.finditer(page or ""):
+    for at, m in enumerate(_TOKEN.finditer(page or "")):
         text = m["text"]
         if text is not None:
             held.append(text)
             continue
         tag = m["tag"]
         if tag is None:
-            if m["raw"] is not None:
+            if m["raw"] is not None or m["skip"] is not None:
                 held.append(" ")
             continue
         tag, ends, rest = tag.lower(), bool(m["end"]), m["rest"]
@@ -76,21 +186,25 @@ def blocks(page: str | None) -> list[Block]:
             flush()
         elif tag == "br":
             held.append(" ")
-        if tag in ("article", "main"):
-            if ends:
-                article = max(0, article - 1)
-            else:
-                article += 1
-                if article == 1 and aside[:1] in (["nav"], ["header"]):  # left open before the article
-                    aside.clear()
-        if aside:
-            if ends:
-                if tag in aside:
-                    del aside[len(aside) - 1 - aside[::-1].index(tag):]
-            elif tag == aside[0] or tag in ("div", "section", "ul", "ol", "table", "span"):
-                aside.append(tag)
-        elif not ends and tag not in _VOID and not rest.endswith("/") and _is_aside(tag, rest):
-            flush()
-            aside.append(tag)
+        if ends:
+            if opened.count[tag]:
+                if tag not in _BLOCK and opened.aside:
+                    flush()
+                opened.end(tag)
+            continue
+        if tag in _VOID:
+            continue
+        if tag in _BLOCK:
+            opened.imply(tag)
+        elif rest.endswith("/"):
+            continue
+        aside = not (tag in _BLOCK and rest.endswith("/")) and _is_aside(tag, rest)
+        if tag in ("article", "main") and not aside and not opened.article and opened.aside:
+            closed = _closed(page) if closed is None else closed
+            opened.leave(closed)
+        if tag in _BLOCK or aside or tag == "span":
+            if aside:
+                flush()
+            opened.push(tag, aside, at)
     flush()
     return out
