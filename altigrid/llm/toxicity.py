@@ -2,7 +2,8 @@
 
 A word's vector is the mean of the vectors of its character n-grams (3 to 5
 characters of "<word>") and of the whole word, all in one hashed table. A run of
-`segment` words is the mean of its words, and a linear softmax over that mean
+`segment` words, from any word on, is the mean of its words (a shorter text is one
+run), and a linear softmax over that mean
 gives the chance of label 1. A document scores as its worst run, so a few bad
 words count in a text of any length. Table and softmax are trained together by
 gradient steps, first on means of whole texts and then on the worst run of each
@@ -73,8 +74,8 @@ class Model:
         worst = 0.0
         if words:
             values = np.fromiter(map(self.value, words), np.float64, len(words))
-            starts = np.arange(0, len(values), self.segment)
-            worst = float((np.add.reduceat(values, starts) / np.diff([*starts, len(values)])).max())
+            span, sums = min(self.segment, len(values)), np.concatenate([[0.0], np.cumsum(values)])
+            worst = float((sums[span:] - sums[:-span]).max() / span)
         return float(1 / (1 + np.exp(-np.clip(worst + self.bias, -60, 60))))
 
     def __getstate__(self):
@@ -116,11 +117,11 @@ def fit(
     flat, sizes = np.frombuffer(rows, np.int32), np.diff([0, *ends])
     first, word_of = np.cumsum(sizes) - sizes, np.repeat(np.arange(n_words, dtype=np.int32), sizes)
     begin = np.concatenate([[0], np.cumsum(length)[:-1]])
-    runs = -(-length // segment)
-    run_doc = np.repeat(np.arange(len(y)), runs)
-    run_begin = begin[run_doc] + (np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)) * segment
-    run_length = np.minimum(segment, (begin + length)[run_doc] - run_begin)
+    runs = np.maximum(length - segment + 1, 1)
+    run_doc = np.repeat(np.arange(len(y), dtype=np.int32), runs)
     run_first = np.cumsum(runs) - runs
+    run_begin = np.arange(runs.sum()) + (begin - run_first)[run_doc]
+    run_length = np.minimum(segment, length)[run_doc]
 
     def spread(per_word: np.ndarray) -> np.ndarray:
         return np.bincount(flat, (per_word / sizes)[word_of], ROWS)
@@ -137,11 +138,13 @@ def fit(
         if step < warm:
             at, span, owner = doc_picks
         elif (step - warm) % 4 == 0:
-            means = np.add.reduceat(value[words], run_begin) / run_length
-            order = np.lexsort((-means, run_doc))
+            sums = np.concatenate([[0.0], np.cumsum(value[words])])
+            means = (sums[run_begin + run_length] - sums[run_begin]) / run_length
+            top = np.flatnonzero(means == np.maximum.reduceat(means, run_first)[run_doc])
+            worst = top[np.flatnonzero(np.diff(run_doc[top], prepend=-1))]
             clean = np.flatnonzero(y == 0)
             drawn = run_first[clean] + rng.integers(0, runs[clean])
-            picked = np.concatenate([order[run_first], drawn])
+            picked = np.concatenate([worst, drawn])
             at, span, owner = run_begin[picked], run_length[picked], run_doc[picked]
         inside = np.repeat(at - (np.cumsum(span) - span), span) + np.arange(span.sum())
         mean = np.add.reduceat(value[words[inside]], np.cumsum(span) - span) / span
