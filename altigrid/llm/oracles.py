@@ -18,6 +18,24 @@ WITH v AS (
 SELECT * FROM r WHERE rank <= 10
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.rid, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.rid <> c.rid AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS nth FROM s WHERE same QUALIFY nth <= 5
+), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.rid, p.nth ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+    s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON p.rid = s.rid AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+)
+SELECT * FROM n WHERE rank <= 10
+"""
+
 _SPACE = r"\x20\x09-\x0D"
 
 
@@ -71,4 +89,4 @@ FROM f
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_preferences": preferences.ORACLE, "op8_exact_top_k": TOP_K, "op10_quality_rules": quality_sql()}
+    return {"op4_preferences": preferences.ORACLE, "op8_exact_top_k": TOP_K, "op13_hard_negatives": HARD_NEGATIVES, "op10_quality_rules": quality_sql()}

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from altigrid.llm import jaccard_join, mixing, packing, page_differencing, preferences, quality, suffix_dedup, topk, toxicity, warc
-from altigrid.llm.common import table
+from altigrid.llm import (
+    hard_negatives, jaccard_join, mixing, packing, page_differencing, preferences, quality, suffix_dedup, token_frames, topk, toxicity, warc, whitening,
+)
+from altigrid.llm.common import scratch, table
 from altigrid.llm.oracles import llm_oracles
 
 
@@ -61,10 +65,29 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all texts as token files, read the files back."""
+    path = f"{scratch(spark)}/tokens-{uuid.uuid4().hex}"
+    token_frames.write_tokens(table(spark, sf_dir, "documents"), path, packing.vocabulary())
+    return token_frames.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors: vec_id divisible by 100. Where it is divisible by 7, the label moves on by one."""
+    label = F.when(F.expr("vec_id % 7 = 0"), F.expr("(label + 1) % 10")).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("v"))
+    return hard_negatives.hard_negatives(rows, F.expr("id % 100 = 0"))
+
+
 def llm_queries() -> dict:
     every = (
         op1_warc_derivatives, op2_toxicity, op3_best_fit_packing, op4_preferences, op5_jaccard_join, op6_page_differencing,
         op7_pfair_mixing, op8_exact_top_k, op9_suffix_dedup, op10_quality_rules,
+        op11_token_frames, op12_whitening, op13_hard_negatives,
     )
     return {f.__name__: f for f in every}
 

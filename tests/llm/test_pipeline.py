@@ -10,7 +10,7 @@ from tests.conftest import SMALL
 
 
 def test_all_are_registered():
-    assert len(llm_queries()) == 10 and set(llm_queries()) | {"pipeline"} <= set(entry_points.queries())
+    assert len(llm_queries()) == 13 and set(llm_queries()) | {"pipeline"} <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(llm_oracles()))
