@@ -43,12 +43,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from altigrid.llm.common import hold, small_batches
-from altigrid.llm.packing import chunk_ids
+from altigrid.llm.packing import ChunkIds
 
 END = 2
 FRAME_IDS = 32_768
 LARGEST = 4_194_304
 FILE_IDS = 33_554_432
+KNOWN_CHUNKS = 500_000  # texts' chunks whose ids a worker remembers
+_READY: dict[str, ChunkIds] = {}
 # Fixed values of zstandard's seekable format: skippable frames, footer, flag for checksums.
 INDEX_MAGIC = 0x184D2A50
 SEEK_MAGIC = 0x184D2A5E
@@ -72,6 +74,13 @@ def open_store(url: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(bare) if "://" in bare else (fs.LocalFileSystem(), bare)
 
 
+def _chunk_ids(path: str) -> ChunkIds:
+    """One cache for each Python worker and vocabulary."""
+    if path not in _READY:
+        _READY[path] = ChunkIds(path, KNOWN_CHUNKS)
+    return _READY[path]
+
+
 class FrameWriter:
     """Writes documents to a binary stream; close() adds the index and the seek table."""
 
@@ -189,8 +198,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end: int = END, fr
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready, part = chunk_ids(vocabulary), TaskContext.get().partitionId()
-        hold("chunks", ready.clear)
+        ready, part = _chunk_ids(vocabulary), TaskContext.get().partitionId()
+        hold("frames", ready.clear)
         width = 2 if max(end, len(ready.ends) - 1) < 1 << 16 else 4
         store, folder = open_store(f"{path}/data")
         mark = end.to_bytes(4, "little")
