@@ -40,6 +40,7 @@ BLOCK = 2048         # candidates of a block
 STEP = 256           # candidates of one step of a walk
 PARTS = 8            # tasks that share the list of a group
 SAMPLE, CENTRES = 4096, 64
+PER_CENTRE = 256     # sampled anchors that a cluster stands for; each group gets a copy of all blocks
 GROUPS = 1024        # labels are dealt to so many keys
 SLACK = 1e-7         # added to angles and bounds against rounding
 LOWEST, LAST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
@@ -57,7 +58,7 @@ def centres(sample: dict[int, np.ndarray], most: int = CENTRES, rounds: int = 8)
     out = {}
     for dim, x in sample.items():
         units = _units(x)
-        found = units[np.random.default_rng(dim).permutation(len(units))[:max(1, min(most, len(units) // 8))]]
+        found = units[np.random.default_rng(dim).permutation(len(units))[:max(1, min(most, len(units) // PER_CENTRE))]]
         for _ in range(rounds):
             near = (units @ found.T).argmax(axis=1)
             sums = np.zeros_like(found)

@@ -246,6 +246,7 @@ def mined(df, every):
 def small_steps(monkeypatch):
     monkeypatch.setattr(hard_negatives, "MEMBERS", 7)
     monkeypatch.setattr(hard_negatives, "STEP", 5)
+    monkeypatch.setattr(hard_negatives, "PER_CENTRE", 8)
     monkeypatch.setattr(hard_negatives, "_block_size", lambda dim: 16)
 
 
