@@ -37,14 +37,20 @@ def _axis_bits(length: int) -> tuple[int, int]:
     return bits - bits // 2, bits // 2
 
 
-def geohash_of_bits(lon_bits: Column, lat_bits: Column, length: int) -> Column:
-    """Key of even length from the axis integers of ``5 * length / 2`` bits each."""
+def geohash_of_bits(lon_bits: Column, lat_bits: Column, length: int, inside: Column | None = None) -> Column:
+    """Key of even length from the axis integers of ``5 * length / 2`` bits each.
+
+    Null unless ``inside``: a condition around the first pair of characters alone, as one
+    around the whole key doubles the generated code.
+    """
     pairs = F.split(F.lit(_PAIRS), " ")  # folds to one constant array
     out = []
     for left in range(5 * (length // 2 - 1), -1, -5):
         lon = F.shiftright(lon_bits, left).bitwiseAND(F.lit(31))
         lat = F.shiftright(lat_bits, left).bitwiseAND(F.lit(31))
         out.append(F.get(pairs, (F.shiftleft(lon, 5) + lat).cast("int")))
+    if inside is not None:
+        out[0] = F.when(inside, out[0])
     return F.concat(*out)
 
 
@@ -64,8 +70,8 @@ def geohash(lat: Column, lon: Column, length: int) -> Column:
         at = F.floor((deg + F.lit(origin)) * F.lit(float(cells)) / F.lit(turn))
         return F.least(at, F.lit(cells - 1).cast("bigint"))
 
-    key = geohash_of_bits(axis(lon, 180.0, 360.0), axis(lat, 90.0, 180.0), length)
-    return F.when(lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0), key)
+    inside = lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
+    return geohash_of_bits(axis(lon, 180.0, 360.0), axis(lat, 90.0, 180.0), length, inside)
 
 
 def tile_geohash(zoom: Column, tile_x: Column, tile_y: Column) -> Column:

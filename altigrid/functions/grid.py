@@ -15,6 +15,7 @@ from pyspark.sql import Column, functions as F
 TILE_SIDE = 256
 TILE_BITS = 8
 MAX_ZOOM = 10
+BAND_BITS = 11
 # Tile keys tell tiles apart up to zoom 19; INT indices would hold one zoom more.
 ZOOM_LIMIT = 19
 
@@ -64,6 +65,30 @@ def local_of(g: Column) -> Column:
     return g.bitwiseAND(F.lit(TILE_SIDE - 1))
 
 
+# The bits of 0..1023, each moved to twice its place.
+_SPREAD = " ".join(str(sum((v >> k & 1) << 2 * k for k in range(10))) for v in range(1024))
+
+
+def _spread(v: Column) -> Column:
+    table = F.split(F.lit(_SPREAD), " ").cast("array<bigint>")  # folds to one constant array
+    half = lambda bits: F.get(table, bits.bitwiseAND(F.lit(1023)))
+    return half(v) + F.shiftleft(half(F.shiftright(v, 10)), 20)
+
+
+def tile_code(tile_x: Column, tile_y: Column) -> Column:
+    """Interleaved bits of a tile's indices, the lowest one of tile_x.
+
+    Within a zoom it orders tiles as their geohash does, ``code >> 2`` is the
+    parent's code, and all tiles below one ancestor are an interval.
+    """
+    return _spread(tile_x) + F.shiftleft(_spread(tile_y), 1)
+
+
+def band_of(code: Column) -> Column:
+    """Number of the interval of 2,048 codes that holds a code."""
+    return F.shiftright(code, BAND_BITS).cast("int")
+
+
 def step_degrees(zoom: int | Column) -> Column:
     return F.lit(180.0) / _power(1, zoom).cast("double")
 

@@ -20,6 +20,15 @@ def view_zoom(span: Column, width_px: Column, max_zoom: int = ZOOM_LIMIT) -> Col
     return F.coalesce(*fine, F.lit(max_zoom))
 
 
+def view_span() -> Column:
+    """Degrees that decide a view's zoom: the wider of both sides, so that a tall view has no more tiles.
+
+    A view whose lon_min exceeds its lon_max goes over the date line.
+    """
+    wide = F.col("lon_max") - F.col("lon_min")
+    return F.greatest(F.when(wide < 0, wide + F.lit(360.0)).otherwise(wide), F.col("lat_max") - F.col("lat_min"))
+
+
 def _cover(low: Column, high: Column, origin: float, zoom: Column, count: Column):
     """First and last tile index that an interval of degrees overlaps.
 
@@ -70,8 +79,7 @@ def viewport_cover(views: DataFrame, max_zoom: int = ZOOM_LIMIT) -> DataFrame:
     Input: lat_min, lon_min, lat_max, lon_max, width_px and the view's own
     columns; output: those other columns, zoom, tile_x, tile_y.
     """
-    zoom = view_zoom(F.col("lon_max") - F.col("lon_min"), F.col("width_px"), max_zoom)
-    cover = box_tiles(views.withColumn("zoom", zoom))
+    cover = box_tiles(views.withColumn("zoom", view_zoom(view_span(), F.col("width_px"), max_zoom)))
     return cover.drop("lat_min", "lon_min", "lat_max", "lon_max", "width_px")
 
 
@@ -79,17 +87,21 @@ def tiles_in_bbox(requests: DataFrame, tiles: DataFrame) -> DataFrame:
     """Stored tiles in each request's box at its zoom.
 
     A box becomes at most 64 square blocks of tiles, whatever its size. They meet
-    the blocks of the stored keys in an equi-join, so that rows follow
-    what is stored and not the area; rasters join last, popular ones split.
+    the blocks of the stored tiles in one equi-join, so that rows follow what is
+    stored and not the area. A stored tile stands for one block of each size that
+    some request of its zoom has, mostly one or two. The join is an inner one of
+    two shuffled sides: the adaptive planner splits blocks that many requests name.
     """
     needed = box_blocks(requests)
-    up = F.explode(F.sequence(F.lit(0), F.col("zoom") + 1)).alias("_up")
+    # A map of at most 20 zooms to at most 20 sizes.
+    of_zoom = needed.groupBy("zoom").agg(F.collect_set("_up").alias("sizes"))
+    sizes = of_zoom.agg(F.map_from_entries(F.collect_list(F.struct("zoom", "sizes")))).scalar()
     shift = lambda c: F.call_function("shiftright", F.col(c), F.col("_up"))
-    keys = tiles.select(*TILE_KEY, up).withColumns({"_bx": shift("tile_x"), "_by": shift("tile_y")})
+    placed = tiles.withColumn("_up", F.explode(F.try_element_at(sizes, F.col("zoom"))))
+    keys = placed.withColumns({"_bx": shift("tile_x"), "_by": shift("tile_y")})
     inside = F.col("tile_x").between(F.col("_x0"), F.col("_x1")) & F.col("tile_y").between(F.col("_y0"), F.col("_y1"))
-    hits = split_join(needed, keys, ["zoom", "_up", "_bx", "_by"]).where(inside)
-    hits = hits.drop("lat_min", "lon_min", "lat_max", "lon_max", "_up", "_bx", "_by", "_x0", "_x1", "_y0", "_y1")
-    return split_join(hits, tiles, TILE_KEY, "inner")
+    hits = needed.join(keys, ["zoom", "_up", "_bx", "_by"]).where(inside)
+    return hits.drop("lat_min", "lon_min", "lat_max", "lon_max", "_up", "_bx", "_by", "_x0", "_x1", "_y0", "_y1")
 
 
 def box_blocks(requests: DataFrame) -> DataFrame:
@@ -103,9 +115,9 @@ def box_blocks(requests: DataFrame) -> DataFrame:
     return held.withColumn("_bx", span("_x0", "_x1")).withColumn("_by", span("_y0", "_y1"))
 
 
-def requested_tiles(requested: DataFrame, tiles: DataFrame) -> DataFrame:
+def requested_tiles(requested: DataFrame, tiles: DataFrame, keys: list[str] = TILE_KEY) -> DataFrame:
     """Stored tiles that any request names; rasters of others go no further."""
-    return tiles.join(requested.select(*TILE_KEY).distinct(), TILE_KEY, "left_semi")
+    return tiles.join(requested.select(*keys).distinct(), keys, "left_semi")
 
 
 def tile_lookup(requests: DataFrame, tiles: DataFrame) -> DataFrame:
@@ -120,6 +132,12 @@ def tile_by_key(tiles: DataFrame, zoom: int, geohash: str) -> DataFrame:
     return tiles.where((F.col("zoom") == zoom) & (F.col("geohash") == geohash))
 
 
+def key_lookup(requests: DataFrame, tiles: DataFrame) -> DataFrame:
+    """The tile stored under each request's (zoom, geohash), null if there is none."""
+    keys = ["zoom", "geohash"]
+    return split_join(requests, requested_tiles(requests, tiles, keys), keys, "left")
+
+
 def viewport_missing(cover: DataFrame, have: DataFrame) -> DataFrame:
     """Tiles of a cover that are not among those at hand (by zoom and index)."""
     return split_join(cover, have.select(*TILE_KEY), TILE_KEY, "left_anti")

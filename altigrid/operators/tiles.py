@@ -26,7 +26,7 @@ _KEYS = ["zoom", "geohash", "tile_x", "tile_y"]
 _RUN = 4
 
 
-def _tile_pixels(pixels: DataFrame, ranged: bool) -> DataFrame:
+def tile_pixels(pixels: DataFrame, ranged: bool, measure: str = "alt") -> DataFrame:
     """Pixels with their tile key, all pixels of a tile in one partition.
 
     ``ranged`` places tiles by ranges of the table's key, so that packed tiles
@@ -37,14 +37,14 @@ def _tile_pixels(pixels: DataFrame, ranged: bool) -> DataFrame:
     keyed = pixels.select(
         "zoom", tile_geohash(zoom, tx, ty).alias("geohash"),
         tx.alias("tile_x"), ty.alias("tile_y"),
-        grid.local_of(gx).alias("x"), grid.local_of(gy).alias("y"), "alt",
+        grid.local_of(gx).alias("x"), grid.local_of(gy).alias("y"), measure,
     )
     if ranged:
         return keyed.repartitionByRange("zoom", "geohash")
     return keyed.repartition("zoom", "geohash")
 
 
-def _fill(parts: DataFrame, keys: Sequence[str], words: int, name: str) -> DataFrame:
+def fill_words(parts: DataFrame, keys: Sequence[str], words: int, name: str) -> DataFrame:
     """Concatenate 64-bit words 0..words-1 per key, zero where a word is missing.
 
     ``parts``: keys, ``at``, the index of a word, and ``part``, the word with
@@ -78,7 +78,7 @@ def _byte_swapped(alt: Column) -> Column:
     return low_first.cast("bigint")
 
 
-def _into_word(value: Column, place: Column, width: int) -> Column:
+def into_word(value: Column, place: Column, width: int) -> Column:
     """Shift a ``width``-bit value to its place (0 first) in a 64-bit word."""
     return F.call_function("shiftleft", value, F.lit(64 - width) - place * width)
 
@@ -90,12 +90,12 @@ def pack_tiles(pixels: DataFrame, ranged: bool = False) -> DataFrame:
     the list built per tile has at most 4,096 entries.
     """
     pos = F.col("x") * TILE_SIDE + F.col("y")
-    words = _tile_pixels(pixels, ranged).select(
+    words = tile_pixels(pixels, ranged).select(
         *_KEYS,
         F.shiftright(pos, 2).alias("at"),
-        _into_word(_byte_swapped(F.col("alt")), F.col("y").bitwiseAND(F.lit(3)), 16).alias("part"),
+        into_word(_byte_swapped(F.col("alt")), F.col("y").bitwiseAND(F.lit(3)), 16).alias("part"),
     )
-    return _fill(words, _KEYS, TILE_PIXELS // 4, "tile")
+    return fill_words(words, _KEYS, TILE_PIXELS // 4, "tile")
 
 
 def pixel_colour(pixels: DataFrame, palette: str | Sequence[ramps.Stop] = "gps") -> DataFrame:
@@ -112,16 +112,16 @@ def pixel_colour(pixels: DataFrame, palette: str | Sequence[ramps.Stop] = "gps")
 
 def tile_rgba(pixels: DataFrame, palette: str | Sequence[ramps.Stop] = "gps") -> DataFrame:
     """Tiles as RGBA rasters, row-major from the north-west; no data is transparent."""
-    placed = _tile_pixels(pixels, False)
+    placed = tile_pixels(pixels, False)
     at = (F.lit(TILE_SIDE - 1) - F.col("y")) * TILE_SIDE + F.col("x")
     byte = lambda c, bits: F.shiftleft(F.col(c).cast("bigint"), bits)
     word = byte("red", 24) + byte("green", 16) + byte("blue", 8) + F.col("alpha").cast("bigint")
     words = pixel_colour(placed, palette).select(
         *_KEYS,
         F.shiftright(at, 1).alias("at"),
-        _into_word(word, at.bitwiseAND(F.lit(1)), 32).alias("part"),
+        into_word(word, at.bitwiseAND(F.lit(1)), 32).alias("part"),
     )
-    return _fill(words, _KEYS, TILE_PIXELS // 2, "raster")
+    return fill_words(words, _KEYS, TILE_PIXELS // 2, "raster")
 
 
 def unpack_tiles(tiles: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from altigrid.functions import geohash as keys, grid
 from altigrid.functions.palette import palette_from_object
-from altigrid.operators import gps, pixels, places, pyramid, serving, stats, tiles
+from altigrid.operators import gps, pixels, places, pyramid, rasters, serving, stats, tiles
 from altigrid.plans.views import Inputs
-from altigrid.sources import hgt, places as place_files, points, store
+from altigrid.sources import hgt, places as place_files, points, store, tile_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,15 +114,20 @@ def sample_bernoulli(i: Inputs) -> DataFrame:
 
 @_query
 def sample_bernoulli_summary(i: Inputs) -> DataFrame:
-    """Whether the draw is one: its share within six deviations, no strangers, no repeats."""
-    drawn = gps.sample_bernoulli(i.dem().select("point_id"), SAMPLE, seed=7)
-    all_rows = i.dem().agg(F.count(F.lit(1))).scalar()
-    strangers = drawn.join(i.dem().select("point_id"), "point_id", "left_anti").agg(F.count(F.lit(1))).scalar()
-    off = F.abs(F.count(F.lit(1)) - SAMPLE * all_rows)
-    return drawn.agg(
+    """Whether the draw is one: its share within six deviations, no strangers, no repeats.
+
+    point_id is not unique: an id repeats if it is drawn more often than it occurs.
+    """
+    per_id = lambda df, name: df.groupBy("point_id").agg(F.count(F.lit(1)).alias(name))
+    drawn = per_id(gps.sample_bernoulli(i.dem().select("point_id"), SAMPLE, seed=7), "n_drawn")
+    both = per_id(i.dem(), "n_all").join(drawn, "point_id", "full")
+    all_rows = F.sum("n_all")
+    off = F.abs(F.sum("n_drawn") - SAMPLE * all_rows)
+    return both.agg(
         (off <= 6 * F.sqrt(SAMPLE * (1 - SAMPLE) * all_rows)).alias("share_ok"),
-        (F.count(F.lit(1)) - F.count_distinct("point_id")).alias("n_repeats"),
-    ).withColumn("n_strangers", strangers)
+        F.count_if(F.col("n_drawn") > F.col("n_all")).alias("n_repeats"),
+        F.count_if(F.col("n_all").isNull()).alias("n_strangers"),
+    )
 
 
 @_query
@@ -304,6 +309,91 @@ def stored_tile_lookup(i: Inputs) -> DataFrame:
     return serving.tile_lookup(asked, stored).select("request_id", "zoom", "tile_x", "tile_y", "geohash", "digest")
 
 
+def _digests(stored: DataFrame) -> DataFrame:
+    return stored.select("zoom", "geohash", "tile_x", "tile_y", F.length("tile").alias("n_bytes"), F.md5("tile").alias("digest"))
+
+
+def _finest_tiles(readings: DataFrame) -> DataFrame:
+    return tiles.pack_tiles(pixels.pixel_max(readings, MAX_ZOOM))
+
+
+def _tile_table_of(i: Inputs, readings: DataFrame) -> str:
+    """A pyramid of rasters, stored in key ranges and rolled up from its finest zoom."""
+    path = store.scratch_path(i.spark, "tile-table")
+    tile_table.build_tile_table(i.spark, _finest_tiles(readings), path, MAX_ZOOM)
+    store.drop_at_exit(i.spark, path)
+    return path
+
+
+@_query
+def tiles_rollup(i: Inputs) -> DataFrame:
+    """Zooms 9 to 0 from the stored rasters of zoom 10, without a row per pixel."""
+    return _digests(tile_table.read_tile_table(i.spark, _tile_table_of(i, points.dem_bounds(i.dense()))))
+
+
+@_query
+def tiles_incremental(i: Inputs) -> DataFrame:
+    """The odd half of the readings put into the stored pyramid of the even half."""
+    readings = points.dem_bounds(i.dense())
+    path = _tile_table_of(i, readings.where("point_id % 2 = 0"))
+    tile_table.update_tile_table(i.spark, _finest_tiles(readings.where("point_id % 2 <> 0")), path, MAX_ZOOM)
+    return _digests(tile_table.read_tile_table(i.spark, path))
+
+
+@_query
+def tile_rgba_stored(i: Inputs) -> DataFrame:
+    """All stored rasters coloured as they are."""
+    stored = tile_table.read_tile_table(i.spark, _tile_table_of(i, points.dem_bounds(i.dense())))
+    return rasters.tile_rgba_stored(stored, "gps").select(
+        "zoom", "geohash", "tile_x", "tile_y", F.length("raster").alias("n_bytes"), F.md5("raster").alias("digest"))
+
+
+@_query
+def stored_key_lookup(i: Inputs) -> DataFrame:
+    """The raster of the tile below every tenth-of-zoom request, read from the stored table by key intervals."""
+    zoom = (F.col("point_id") % (MAX_ZOOM + 1)).cast("int")
+    readings = points.dem_bounds(i.dense())
+    x, y = grid.tile_index(F.col("lat"), F.col("lon"), F.col("zoom"))
+    asked = readings.withColumn("zoom", zoom).select(F.col("point_id").alias("request_id"), "zoom", x.alias("tile_x"), (y + F.col("zoom") % 2).cast("int").alias("tile_y"))
+    stored = tile_table.read_tile_table(i.spark, _tile_table_of(i, readings))
+    return tile_table.lookup_tiles(asked, stored).select("request_id", "zoom", "tile_x", "tile_y", "geohash", F.md5("tile").alias("digest"))
+
+
+@_query
+def stored_tiles_in_boxes(i: Inputs) -> DataFrame:
+    """Rasters in a box around every map view's south-west corner, moved to where readings lie."""
+    stored = tile_table.read_tile_table(i.spark, _tile_table_of(i, points.dem_bounds(i.dense())))
+    found = tile_table.tiles_in_boxes(i.near_boxes(MAX_ZOOM), stored)
+    return found.select("request_id", "zoom", "geohash", F.md5("tile").alias("digest"))
+
+
+@_query
+def visit_tiles_merged(i: Inputs) -> DataFrame:
+    """Visits of even and of odd numbers as two pyramids of count rasters, merged and unpacked."""
+    found = points.gps_bounds(i.dense_gps())
+    packed = lambda half: rasters.pack_visits(pyramid.pyramid(gps.gps_pixels(half, MAX_ZOOM), MAX_ZOOM, agg="count"))
+    merged = rasters.merge_visits(packed(found.where("point_id % 2 = 0")), packed(found.where("point_id % 2 <> 0")))
+    return rasters.unpack_visits(merged)
+
+
+@_query
+def visit_tile_peaks(i: Inputs) -> DataFrame:
+    """Visits of the busiest pixel of each zoom, from rasters."""
+    levels = pyramid.pyramid(gps.gps_pixels(points.gps_bounds(i.dense_gps()), MAX_ZOOM), MAX_ZOOM, agg="count")
+    return rasters.visit_peaks(rasters.pack_visits(levels))
+
+
+@_query
+def stored_points_upsert(i: Inputs) -> DataFrame:
+    """Points of odd number put into a stored table of the even ones."""
+    found = points.gps_bounds(i.gps())
+    path = store.scratch_path(i.spark, "point-table")
+    tile_table.write_point_table(gps.points_upsert(found.where("point_id % 2 = 0"), "point_id"), path)
+    tile_table.upsert_point_table(i.spark, gps.points_upsert(found.where("point_id % 2 <> 0"), "point_id"), path)
+    store.drop_at_exit(i.spark, path)
+    return tile_table.read_point_table(i.spark, path).select("geohash", "value")
+
+
 @_query
 def tile_unpack_dense(i: Inputs) -> DataFrame:
     return tiles.unpack_tiles(tiles.pack_tiles(_dense_pyramid(i)))
@@ -540,8 +630,7 @@ def viewport_cover(i: Inputs) -> DataFrame:
 
 
 def _boxes(i: Inputs) -> DataFrame:
-    span = F.col("lon_max") - F.col("lon_min")
-    wanted = serving.clamp_zoom(serving.view_zoom(span, F.col("width_px")), 0, STORE_ZOOM)
+    wanted = serving.clamp_zoom(serving.view_zoom(serving.view_span(), F.col("width_px")), 0, STORE_ZOOM)
     return i.viewports().withColumn("zoom", wanted).drop("width_px")
 
 

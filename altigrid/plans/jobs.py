@@ -76,9 +76,12 @@ def store_points(spark: SparkSession, path: str, out: str, fraction: float | Non
 
     ``fraction`` stores a sample of the points only. strict leaves out failed
     lines and points off the map; compat stores failed lines as (0, 0). Of lines
-    with one key the greatest as text wins, whatever order tasks run in.
+    with one key the greatest as text wins, whatever order tasks run in. The text
+    is scanned and parsed once, into ``out/parsed``, with failed lines apart.
     """
-    found = points.parse_points_rowfail(points.read_lines(spark, path))
+    parsed = points.parse_points_rowfail(points.read_lines(spark, path))
+    parsed.write.mode("overwrite").partitionBy("ok").parquet(f"{out}/parsed")
+    found = spark.read.schema(parsed.schema).parquet(f"{out}/parsed")
     store.write_lines(points.failed_lines(found), f"{out}/failed")
     kept = points.gps_bounds(found.where("ok") if mode == points.STRICT else found, mode)
     if fraction is not None:
@@ -119,7 +122,7 @@ def serve(spark: SparkSession, tiles_path: str, requests: str, out: str, kind: s
         "lookup": lambda: serving.tile_lookup(asked, stored),
         "box": lambda: serving.tiles_in_bbox(asked, stored),
         "missing": lambda: serving.viewport_missing(asked, stored),
-        "key": lambda: asked.join(stored, ["zoom", "geohash"], "left"),
+        "key": lambda: serving.key_lookup(asked, stored),
     }
     if kind not in answers:
         raise ValueError(f"unknown kind of request {kind!r}")

@@ -35,6 +35,15 @@ SELECT event_id AS point_id,
        CAST((user_id * 7919 + (event_id % 5) * 13) % 180000 - 90000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS lat,
        CAST((user_id * 104729 + (event_id % 5) * 29) % 360000 - 180000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS lon
 FROM events""",
+    "dense_gps": """
+SELECT point_id, 45 + CAST(CAST(FLOOR(ABS(lat) * 1000) AS BIGINT) % 10000 AS DOUBLE) / CAST(10000 AS DOUBLE) AS lat,
+       5 + CAST(CAST(FLOOR(ABS(lon) * 1000) AS BIGINT) % 20000 AS DOUBLE) / CAST(10000 AS DOUBLE) AS lon
+FROM v_gps""",
+    "v_near": f"""
+SELECT o_orderkey AS request_id, CAST(o_custkey % {MAX_ZOOM + 1} AS INTEGER) AS zoom, lat_min, lon_min, lat_min + span AS lat_max, lon_min + span AS lon_max
+FROM (SELECT *, 45 + CAST(o_orderkey * 7919 % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS lat_min,
+             5 + CAST(o_orderkey * 104729 % 2000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS lon_min,
+             CAST(1 + o_custkey % 8 AS DOUBLE) / CAST(8 AS DOUBLE) AS span FROM orders)""",
     "v_gps_text": """
 SELECT point_id, CAST(CAST(lat AS DECIMAL(9,3)) AS VARCHAR) AS lat_text,
        CASE WHEN point_id % 41 = 0 THEN 'east' ELSE CAST(CAST(lon AS DECIMAL(9,3)) AS VARCHAR) END AS lon_text
@@ -55,7 +64,9 @@ SELECT UPPER(country) AS country, region, accent_city AS city, population, lat,
 FROM v_cities WHERE population IS NOT NULL""",
     "joined": "SELECT c.*, r.name FROM cities c JOIN v_regions r USING (country, region)",
     "v_views": """
-SELECT request_id, lat_min, lon_min, lat_min + span AS lat_max, lon_min + span AS lon_max, width_px
+SELECT request_id, lat_min, lat_min + span AS lat_max, width_px, span,
+       CASE WHEN request_id % 50 = 0 THEN CAST(180 AS DOUBLE) - span / CAST(2 AS DOUBLE) ELSE lon_min END AS lon_min,
+       CASE WHEN request_id % 50 = 0 THEN CAST(-180 AS DOUBLE) + span / CAST(2 AS DOUBLE) ELSE lon_min + span END AS lon_max
 FROM (SELECT o_orderkey AS request_id,
              CAST((o_orderkey * 7919) % 150000 - 90000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS lat_min,
              CAST((o_orderkey * 104729) % 300000 - 180000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS lon_min,
@@ -63,7 +74,7 @@ FROM (SELECT o_orderkey AS request_id,
       FROM orders)""",
     "view_zoom": """
 SELECT *, list_filter(range(0, 21), lambda z:
-              CAST(180 AS DOUBLE) / (256 * CAST(POW(2, z) AS DOUBLE)) <= (lon_max - lon_min) / width_px)[1] AS best
+              CAST(180 AS DOUBLE) / (256 * CAST(POW(2, z) AS DOUBLE)) <= GREATEST(CASE WHEN lon_max < lon_min THEN lon_max - lon_min + 360 ELSE lon_max - lon_min END, lat_max - lat_min) / width_px)[1] AS best
 FROM v_views""",
     "v_requests": f"""
 SELECT o_orderkey AS request_id,
@@ -75,7 +86,7 @@ FROM orders""",
 
 # View name -> views it reads.
 _NEEDS = {
-    "dem": ["v_dem"], "v_gps_text": ["v_gps"], "cities": ["v_cities"],
+    "dem": ["v_dem"], "v_gps_text": ["v_gps"], "dense_gps": ["v_gps"], "cities": ["v_cities"],
     "joined": ["cities", "v_regions"], "view_zoom": ["v_views"],
 }
 
@@ -244,12 +255,16 @@ def _cover(zoom: str, source: str) -> dict[str, str]:
     def edge(fn: str, deg: str, origin: int) -> str:
         return (f"CAST({fn}(({deg} + CAST({origin} AS DOUBLE)) * POW(2, {zoom}) / CAST(180 AS DOUBLE)) AS INTEGER)")
 
+    sides = f"""SELECT * FROM {source} WHERE lon_min <= lon_max UNION ALL
+            SELECT * REPLACE (CAST(180 AS DOUBLE) AS lon_max) FROM {source} WHERE lon_min > lon_max UNION ALL
+            SELECT * REPLACE (CAST(-180 AS DOUBLE) AS lon_min) FROM {source} WHERE lon_min > lon_max"""
     return dict(
+        sides=sides,
         edges=f"""SELECT request_id, CAST({zoom} AS INTEGER) AS zoom,
             GREATEST({edge('FLOOR', 'lon_min', 180)}, 0) AS x0,
             LEAST({edge('CEIL', 'lon_max', 180)}, CAST(POW(2, {zoom} + 1) AS INTEGER)) AS x1,
             GREATEST({edge('FLOOR', 'lat_min', 90)}, 0) AS y0,
-            LEAST({edge('CEIL', 'lat_max', 90)}, CAST(POW(2, {zoom}) AS INTEGER)) AS y1 FROM {source}""",
+            LEAST({edge('CEIL', 'lat_max', 90)}, CAST(POW(2, {zoom}) AS INTEGER)) AS y1 FROM sides""",
         columns_="SELECT *, UNNEST(range(x0, x1)) AS tile_x FROM edges",
         cover="""SELECT request_id, zoom, CAST(tile_x AS INTEGER) AS tile_x,
             CAST(UNNEST(range(y0, y1)) AS INTEGER) AS tile_y FROM columns_""",
@@ -266,6 +281,16 @@ def _hgt_points() -> dict[str, str]:
     )
 
 
+# Rasters of four bytes a pixel, in rows from the north-west.
+_RGBA = dict(
+    px=_PACKED["px"], **_coloured("gps", "px"),
+    cells="""SELECT zoom, tile_x, tile_y, (255 - y) * 256 + x AS pos,
+        printf('%02X%02X%02X%02X', red, green, blue, alpha) AS word FROM px JOIN colours USING (alt)""",
+    gaps=_PACKED["gaps"],
+    packed=_PACKED["packed"].replace("'0000'", "'00000000'").replace("AS tile", "AS raster"),
+    rasters=_GEO_KEYED.format(source="packed"),
+)
+
 _CITY_BEST = """SELECT geohash, city, population, country FROM (
     SELECT geohash, city, population, name AS country,
            ROW_NUMBER() OVER (PARTITION BY geohash ORDER BY population DESC, city DESC, name DESC) AS rank
@@ -340,6 +365,20 @@ def all_oracles() -> dict[str, str]:
             FROM asked a JOIN tiles t USING (zoom, tile_x, tile_y)""", **_DENSE, asked="""
             SELECT point_id AS request_id, zoom, {} AS tile_x, {} AS tile_y
             FROM (SELECT *, CAST(point_id % 11 AS INTEGER) AS zoom FROM dense)""".format(*_pixel("zoom", 1))),
+        "tile_rgba_stored": _with(["dense"], """SELECT zoom, geohash, tile_x, tile_y,
+            CAST(octet_length(raster) AS INTEGER) AS n_bytes, md5(raster) AS digest FROM rasters""",
+            located=_DENSE["located"], **_RGBA),
+        "stored_key_lookup": _with(["dense"], """SELECT request_id, a.zoom, a.tile_x, a.tile_y, geohash, md5(tile) AS digest
+            FROM asked a LEFT JOIN tiles t USING (zoom, tile_x, tile_y)""", **_DENSE, asked="""
+            SELECT point_id AS request_id, zoom, {} AS tile_x, CAST({} + zoom % 2 AS INTEGER) AS tile_y
+            FROM (SELECT *, CAST(point_id % 11 AS INTEGER) AS zoom FROM dense)""".format(*_pixel("zoom", 1))),
+        "stored_tiles_in_boxes": _with(["dense", "v_near"], """SELECT request_id, zoom, geohash, md5(tile) AS digest
+            FROM cover JOIN tiles USING (zoom, tile_x, tile_y)""", **_DENSE, **_cover("zoom", "v_near")),
+        "visit_tiles_merged": _with(["dense_gps"], "SELECT zoom, gx, gy, COUNT(*) AS n FROM located GROUP BY ALL",
+                                    located=_points_all(MAX_ZOOM, source="dense_gps")),
+        "visit_tile_peaks": _with(["dense_gps"], """SELECT zoom, MAX(n) AS peak
+            FROM (SELECT zoom, gx, gy, COUNT(*) AS n FROM located GROUP BY ALL) GROUP BY zoom""",
+            located=_points_all(MAX_ZOOM, source="dense_gps")),
         "tile_unpack_dense": _with(["dense"], f"SELECT zoom, {_TILE}, alt FROM ({_MAX})", located=_DENSE["located"]),
         "pyramid_size_dense": _with(["dense"], """SELECT zoom, COUNT(*) AS n_tiles,
             CAST(SUM(octet_length(tile)) AS BIGINT) AS n_bytes, CAST(2 * POW(4, zoom) AS BIGINT) AS full_tiles,
@@ -352,12 +391,7 @@ def all_oracles() -> dict[str, str]:
             CAST(2 * 2 * 256 * 256 * POW(4, zoom) AS BIGINT) AS full_bytes FROM tiles GROUP BY zoom""", **_PACKED),
         "tile_rgba": _with(["dem"], """SELECT zoom, geohash, tile_x, tile_y,
             CAST(octet_length(raster) AS INTEGER) AS n_bytes, md5(raster) AS digest FROM rasters""",
-            located=_PACKED["located"], px=_PACKED["px"], **_coloured("gps", "px"),
-            cells="""SELECT zoom, tile_x, tile_y, (255 - y) * 256 + x AS pos,
-                printf('%02X%02X%02X%02X', red, green, blue, alpha) AS word FROM px JOIN colours USING (alt)""",
-            gaps=_PACKED["gaps"],
-            packed=_PACKED["packed"].replace("'0000'", "'00000000'").replace("AS tile", "AS raster"),
-            rasters=_GEO_KEYED.format(source="packed")),
+            located=_PACKED["located"], **_RGBA),
         "tiles_sorted": _with(["dem"], """SELECT zoom, geohash, tile_x, tile_y, n_pixels, min_alt, max_alt
             FROM tiles ORDER BY zoom, geohash""", **_STORE),
         "decode_hgt": _with(["v_dem"], "SELECT ROUND(lat, 9) AS lat, ROUND(lon, 9) AS lon, height FROM tops",
@@ -439,6 +473,9 @@ def all_oracles() -> dict[str, str]:
         "pixel_colour_hotmap": _pixel_colour("hotmap"),
         "pyramid_mean_of_means": _mean_of_means(),
     }
+    # The same results by other ways.
+    out["tiles_rollup"] = out["tiles_incremental"] = out["tile_blob_dense"]
+    out["stored_points_upsert"] = out["points_merge"]
     every_zoom = _with(["dem"], _MAX, located=_points_all(MAX_ZOOM))
     for name in ("pyramid_max", "pyramid_by_level", "pyramid_fanout", "pixels_all_zooms"):
         out[name] = every_zoom

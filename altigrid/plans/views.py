@@ -65,6 +65,11 @@ class Inputs:
             _degrees(user * 104729 + jitter * 29, 360000, "lon"),
         )
 
+    def dense_gps(self) -> DataFrame:
+        """The GPS points drawn together on two square degrees."""
+        near = lambda corner, deg, span: F.lit(float(corner)) + F.pmod(F.floor(F.abs(deg) * 1000).cast("bigint"), F.lit(span)).cast("double") / F.lit(10000.0)
+        return self.gps().select("point_id", near(45, F.col("lat"), 10000).alias("lat"), near(5, F.col("lon"), 20000).alias("lon"))
+
     def gps_lines(self) -> DataFrame:
         """The GPS points as text, some with a longitude that is not a number."""
         lon = F.when(F.col("point_id") % 41 == 0, "east").otherwise(_milli("lon"))
@@ -100,7 +105,7 @@ class Inputs:
         ))
 
     def viewports(self) -> DataFrame:
-        """Map views, one per order."""
+        """Map views, one per order; one in fifty lies across the date line (lon_min > lon_max)."""
         order, cust = F.col("o_orderkey"), F.col("o_custkey")
         corner = self.table("orders").select(
             order.alias("request_id"),
@@ -110,11 +115,23 @@ class Inputs:
             (256 + (cust % 4) * 256).cast("int").alias("width_px"),
         )
         lat, lon = F.col("_lat") / F.lit(1000.0), F.col("_lon") / F.lit(1000.0)
+        across, half = F.col("request_id") % 50 == 0, F.col("_span") / F.lit(2.0)
         return corner.select(
-            "request_id", lat.alias("lat_min"), lon.alias("lon_min"),
-            (lat + F.col("_span")).alias("lat_max"), (lon + F.col("_span")).alias("lon_max"),
+            "request_id", lat.alias("lat_min"), F.when(across, F.lit(180.0) - half).otherwise(lon).alias("lon_min"),
+            (lat + F.col("_span")).alias("lat_max"),
+            F.when(across, F.lit(-180.0) + half).otherwise(lon + F.col("_span")).alias("lon_max"),
             "width_px")
 
+    def near_boxes(self, max_zoom: int) -> DataFrame:
+        """Boxes of an eighth to one degree where the dense readings lie, one per order, at any zoom."""
+        order, cust = F.col("o_orderkey"), F.col("o_custkey")
+        lat = F.lit(45.0) + (order * 7919 % 1000).cast("double") / F.lit(1000.0)
+        lon = F.lit(5.0) + (order * 104729 % 2000).cast("double") / F.lit(1000.0)
+        span = (1 + cust % 8).cast("double") / F.lit(8.0)
+        return self.table("orders").select(
+            order.alias("request_id"), lat.alias("lat_min"), lon.alias("lon_min"),
+            (lat + span).alias("lat_max"), (lon + span).alias("lon_max"), (cust % (max_zoom + 1)).cast("int").alias("zoom"))
+
     def tile_requests(self, max_zoom: int) -> DataFrame:
         """One tile request per order: request_id, lat, lon, zoom."""
         order, cust = F.col("o_orderkey"), F.col("o_custkey")

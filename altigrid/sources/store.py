@@ -32,6 +32,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table when the session's process ends."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+
+
 def write_by_zoom(
     table: DataFrame, path: str, order: list[str], mode: str = "overwrite",
     only_given_zooms: bool = False, rows_per_file: int | None = None,
