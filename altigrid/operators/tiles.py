@@ -26,11 +26,13 @@ _KEYS = ["zoom", "geohash", "tile_x", "tile_y"]
 _RUN = 4
 
 
-def tile_pixels(pixels: DataFrame, ranged: bool, measure: str = "alt") -> DataFrame:
+def tile_pixels(pixels: DataFrame, ranged: bool | Sequence[str], measure: str = "alt") -> DataFrame:
     """Pixels with their tile key, all pixels of a tile in one partition.
 
     ``ranged`` places tiles by ranges of the table's key, so that packed tiles
-    can be written in total order without moving them again.
+    can be written in total order without moving them again. Pixels of a single zoom are
+    ranged by ``["geohash"]``: the planner drops a constant zoom from the grouping, which
+    ranges of (zoom, geohash) then do not serve.
     """
     zoom, gx, gy = F.col("zoom"), F.col("gx"), F.col("gy")
     tx, ty = grid.tile_of(gx), grid.tile_of(gy)
@@ -40,7 +42,7 @@ def tile_pixels(pixels: DataFrame, ranged: bool, measure: str = "alt") -> DataFr
         grid.local_of(gx).alias("x"), grid.local_of(gy).alias("y"), measure,
     )
     if ranged:
-        return keyed.repartitionByRange("zoom", "geohash")
+        return keyed.repartitionByRange(*(["zoom", "geohash"] if ranged is True else ranged))
     return keyed.repartition("zoom", "geohash")
 
 
@@ -83,7 +85,7 @@ def into_word(value: Column, place: Column, width: int) -> Column:
     return F.call_function("shiftleft", value, F.lit(64 - width) - place * width)
 
 
-def pack_tiles(pixels: DataFrame, ranged: bool = False) -> DataFrame:
+def pack_tiles(pixels: DataFrame, ranged: bool | Sequence[str] = False) -> DataFrame:
     """Pixels (zoom, gx, gy, alt) to tiles (zoom, geohash, tile_x, tile_y, tile).
 
     Four vertical neighbours share one 64-bit word and four words one entry, so

@@ -313,14 +313,10 @@ def _digests(stored: DataFrame) -> DataFrame:
     return stored.select("zoom", "geohash", "tile_x", "tile_y", F.length("tile").alias("n_bytes"), F.md5("tile").alias("digest"))
 
 
-def _finest_tiles(readings: DataFrame) -> DataFrame:
-    return tiles.pack_tiles(pixels.pixel_max(readings, MAX_ZOOM))
-
-
 def _tile_table_of(i: Inputs, readings: DataFrame) -> str:
     """A pyramid of rasters, stored in key ranges and rolled up from its finest zoom."""
     path = store.scratch_path(i.spark, "tile-table")
-    tile_table.build_tile_table(i.spark, _finest_tiles(readings), path, MAX_ZOOM)
+    tile_table.build_tile_table(i.spark, tile_table.finest_tiles(readings, MAX_ZOOM), path, MAX_ZOOM)
     store.drop_at_exit(i.spark, path)
     return path
 
@@ -336,7 +332,8 @@ def tiles_incremental(i: Inputs) -> DataFrame:
     """The odd half of the readings put into the stored pyramid of the even half."""
     readings = points.dem_bounds(i.dense())
     path = _tile_table_of(i, readings.where("point_id % 2 = 0"))
-    tile_table.update_tile_table(i.spark, _finest_tiles(readings.where("point_id % 2 <> 0")), path, MAX_ZOOM)
+    odd = tile_table.finest_tiles(readings.where("point_id % 2 <> 0"), MAX_ZOOM)
+    tile_table.update_tile_table(i.spark, odd, path, MAX_ZOOM)
     return _digests(tile_table.read_tile_table(i.spark, path))
 
 
@@ -350,21 +347,22 @@ def tile_rgba_stored(i: Inputs) -> DataFrame:
 
 @_query
 def stored_key_lookup(i: Inputs) -> DataFrame:
-    """The raster of the tile below every tenth-of-zoom request, read from the stored table by key intervals."""
+    """For each reading the tile below or beside it at one of the zooms, read from the stored table by key intervals."""
     zoom = (F.col("point_id") % (MAX_ZOOM + 1)).cast("int")
     readings = points.dem_bounds(i.dense())
     x, y = grid.tile_index(F.col("lat"), F.col("lon"), F.col("zoom"))
     asked = readings.withColumn("zoom", zoom).select(F.col("point_id").alias("request_id"), "zoom", x.alias("tile_x"), (y + F.col("zoom") % 2).cast("int").alias("tile_y"))
     stored = tile_table.read_tile_table(i.spark, _tile_table_of(i, readings))
-    return tile_table.lookup_tiles(asked, stored).select("request_id", "zoom", "tile_x", "tile_y", "geohash", F.md5("tile").alias("digest"))
+    found = tile_table.lookup_tiles(asked, stored.withColumn("digest", F.md5("tile")), ["geohash", "digest"])
+    return found.select("request_id", "zoom", "tile_x", "tile_y", "geohash", "digest")
 
 
 @_query
 def stored_tiles_in_boxes(i: Inputs) -> DataFrame:
     """Rasters in a box around every map view's south-west corner, moved to where readings lie."""
     stored = tile_table.read_tile_table(i.spark, _tile_table_of(i, points.dem_bounds(i.dense())))
-    found = tile_table.tiles_in_boxes(i.near_boxes(MAX_ZOOM), stored)
-    return found.select("request_id", "zoom", "geohash", F.md5("tile").alias("digest"))
+    digests = stored.withColumn("digest", F.md5("tile")).drop("tile")
+    return tile_table.tiles_in_boxes(i.near_boxes(MAX_ZOOM), digests).select("request_id", "zoom", "geohash", "digest")
 
 
 @_query
@@ -461,6 +459,15 @@ def hgt_to_text(i: Inputs) -> DataFrame:
     return hgt.points_to_text(hgt.decode_hgt(i.hgt_files(HGT_SIDE), HGT_SIDE))
 
 
+@_query
+def hgt_files_roundtrip(i: Inputs) -> DataFrame:
+    """Readings to elevation files of 1201 x 1201 heights, written by the tasks, read back by their length."""
+    path = store.scratch_path(i.spark, "hgt")
+    hgt.write_hgt_files(hgt.encode_hgt(i.dense(), hgt.GRID_SIDE), path)
+    store.drop_at_exit(i.spark, path)
+    return hgt.read_hgt(i.spark, path).select(_round("lat", 9), _round("lon", 9), "height")
+
+
 @_query
 def dem_text_roundtrip(i: Inputs) -> DataFrame:
     """Write readings as text, scan the files, parse them."""

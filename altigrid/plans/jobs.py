@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from altigrid.functions import grid
 from altigrid.functions.grid import MAX_ZOOM
-from altigrid.operators import gps, pixels, places, pyramid, serving, stats, tiles
-from altigrid.sources import hgt, places as place_files, points, store
+from altigrid.operators import gps, pixels, places, pyramid, rasters, serving, stats, tiles
+from altigrid.sources import hgt, places as place_files, points, store, tile_table
 
 
 def read_elevation(spark: SparkSession, path: str, kind: str, mode: str = points.STRICT) -> DataFrame:
@@ -34,6 +35,38 @@ def build_tiles(spark: SparkSession, readings: DataFrame, out: str, max_zoom: in
     store.write_sorted_tiles(packed, f"{out}/tiles")
 
 
+def build_tile_table(spark: SparkSession, readings: DataFrame, path: str, max_zoom: int = MAX_ZOOM, min_zoom: int = 0) -> None:
+    """Bounded points to a tile table that later runs can update, without a table of pixels.
+
+    The finest pixels are packed and written; coarser zooms come from the stored rasters.
+    """
+    tile_table.build_tile_table(spark, tile_table.finest_tiles(readings, max_zoom), path, max_zoom, min_zoom)
+
+
+def update_tile_table(spark: SparkSession, readings: DataFrame, path: str, max_zoom: int = MAX_ZOOM, min_zoom: int = 0) -> None:
+    """Put bounded points into a stored tile table; only key ranges that they touch are rewritten."""
+    tile_table.update_tile_table(spark, tile_table.finest_tiles(readings, max_zoom), path, max_zoom, min_zoom)
+
+
+def render(spark: SparkSession, path: str, out: str, palette: str) -> None:
+    """Stored tiles as RGBA rasters, under the same keys."""
+    coloured = rasters.tile_rgba_stored(tile_table.read_tile_table(spark, path), palette)
+    coloured.write.mode("overwrite").partitionBy("zoom").parquet(out)
+
+
+def upsert_points(spark: SparkSession, path: str, out: str) -> None:
+    """Points of a text file put into the point table ``out``, which is created if it is not there.
+
+    Of lines with one key the greatest as text wins; failed lines and points off the map are left out.
+    """
+    found = points.gps_bounds(points.parse_points_rowfail(points.read_lines(spark, path)).where("ok"))
+    updates = gps.points_upsert(found, "line")
+    if store.exists(spark, out):
+        tile_table.upsert_point_table(spark, updates, out)
+    else:
+        tile_table.write_point_table(updates, out)
+
+
 def elevation_stats(spark: SparkSession, path: str, out: str, mode: str = points.STRICT,
                     fraction: float = 0.01) -> None:
     """Statistics of all heights and of a sample, and both histograms."""
@@ -110,14 +143,23 @@ def hgt_to_text(spark: SparkSession, path: str, out: str, mode: str = points.STR
     store.write_lines(hgt.points_to_text(found), out)
 
 
-def serve(spark: SparkSession, tiles_path: str, requests: str, out: str, kind: str) -> None:
+def serve(spark: SparkSession, tiles_path: str, requests: str, out: str, kind: str, banded: bool = False) -> None:
     """Answers to a table of requests from a stored tile table: ``out/<kind>``.
 
     lookup: (lat, lon, zoom); box: (lat_min, lon_min, lat_max, lon_max, zoom);
     missing: (zoom, tile_x, tile_y), answered with those that are not stored;
-    key: (zoom, geohash). Other columns of the requests are kept.
+    key: (zoom, geohash). Other columns of the requests are kept. ``banded`` reads a
+    tile table: box and lookup then read only the key intervals that the requests name.
     """
-    asked, stored = spark.read.parquet(requests), store.read_tiles(spark, tiles_path)
+    asked = spark.read.parquet(requests)
+    stored = tile_table.read_tile_table(spark, tiles_path) if banded else store.read_tiles(spark, tiles_path)
+    if banded and kind in ("lookup", "box"):
+        x, y = grid.tile_index(F.col("lat"), F.col("lon"), F.col("zoom"))
+        found = tile_table.tiles_in_boxes(asked, stored) if kind == "box" else tile_table.lookup_tiles(
+            asked.withColumn("tile_x", x).withColumn("tile_y", y), stored)
+        found.write.mode("overwrite").parquet(f"{out}/{kind}")
+        return
+    stored = stored.drop("code", "band")
     answers = {
         "lookup": lambda: serving.tile_lookup(asked, stored),
         "box": lambda: serving.tiles_in_bbox(asked, stored),

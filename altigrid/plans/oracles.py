@@ -271,12 +271,11 @@ def _cover(zoom: str, source: str) -> dict[str, str]:
     )
 
 
-def _hgt_points() -> dict[str, str]:
-    n = HGT_SIDE
+def _hgt_points(n: int = HGT_SIDE, source: str = "v_dem") -> dict[str, str]:
     cell = lambda deg: f"CAST(FLOOR(({deg} - FLOOR({deg})) * {n - 1}) AS INTEGER)"
     at = lambda deg, c: f"CAST(FLOOR({deg}) AS DOUBLE) + CAST({c} AS DOUBLE) * CAST({1 / (n - 1)!r} AS DOUBLE)"
     return dict(
-        placed=f"SELECT height, {at('lat', cell('lat'))} AS lat, {at('lon', cell('lon'))} AS lon FROM v_dem",
+        placed=f"SELECT height, {at('lat', cell('lat'))} AS lat, {at('lon', cell('lon'))} AS lon FROM {source}",
         tops="SELECT lat, lon, MAX(height) AS height FROM placed GROUP BY ALL HAVING MAX(height) > 0",
     )
 
@@ -396,6 +395,8 @@ def all_oracles() -> dict[str, str]:
             FROM tiles ORDER BY zoom, geohash""", **_STORE),
         "decode_hgt": _with(["v_dem"], "SELECT ROUND(lat, 9) AS lat, ROUND(lon, 9) AS lon, height FROM tops",
                             **_hgt_points()),
+        "hgt_files_roundtrip": _with(["dense"], "SELECT ROUND(lat, 9) AS lat, ROUND(lon, 9) AS lon, height FROM tops",
+                                     **_hgt_points(1201, "dense")),
         "hgt_to_text": _with(["v_dem"], "SELECT printf('%.10g,%.10g,%d', lat, lon, height) AS line FROM tops",
                              **_hgt_points()),
         "dem_text_roundtrip": _with(["v_dem"], "SELECT lat, lon, height FROM v_dem"),

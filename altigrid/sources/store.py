@@ -32,6 +32,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def drop_at_exit(spark: SparkSession, path: str) -> None:
     """Remove a scratch table when the session's process ends."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

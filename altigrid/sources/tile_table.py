@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from altigrid.functions.grid import BAND_BITS, band_of, tile_code
 from altigrid.operators import gps, rasters
 from altigrid.operators.joins import split_join
+from altigrid.operators.pixels import pixel_max
 from altigrid.operators.serving import box_blocks, tiles_in_bbox
+from altigrid.operators.tiles import pack_tiles
 from altigrid.sources.store import drop_at_exit, scratch_path
 
 BANDED_SCHEMA = "geohash string, tile_x int, tile_y int, code bigint, tile binary, zoom int, band int"
@@ -34,12 +36,14 @@ INTERVALS = 64
 _TILE = ["zoom", "geohash", "tile_x", "tile_y", "tile"]
 
 
-def _write(tiles: DataFrame, path: str, dynamic: bool) -> None:
+def _write(tiles: DataFrame, path: str, dynamic: bool, ranged: bool = False) -> None:
     code = tile_code(F.col("tile_x"), F.col("tile_y"))
     placed = tiles.select(*_TILE, code.alias("code")).withColumn("band", band_of(F.col("code")))
-    # One task for each band: its rasters are sorted on disk if need be, and fill files of one range each.
+    # One task for each band, unless the rasters lie in ranges of the key already: then
+    # they stay where they were packed, and a band has a file for each range in it.
+    dealt = placed if ranged else placed.repartition("zoom", "band")
     (
-        placed.repartition("zoom", "band").sortWithinPartitions("zoom", "band", "code")
+        dealt.sortWithinPartitions("zoom", "band", "code")
         .write.mode("overwrite").partitionBy("zoom", "band")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .option("maxRecordsPerFile", TILES_PER_FILE)
@@ -49,9 +53,9 @@ def _write(tiles: DataFrame, path: str, dynamic: bool) -> None:
     )
 
 
-def write_tile_table(tiles: DataFrame, path: str) -> None:
-    """Create the table, or drop and recreate it, with these tiles."""
-    _write(tiles, path, False)
+def write_tile_table(tiles: DataFrame, path: str, ranged: bool = False) -> None:
+    """Create the table, or drop and recreate it, with these tiles; ranged: as :func:`pack_tiles` ranges them."""
+    _write(tiles, path, False, ranged)
 
 
 def replace_bands(tiles: DataFrame, path: str) -> None:
@@ -89,9 +93,14 @@ def roll_up_table(spark: SparkSession, path: str, max_zoom: int, min_zoom: int =
         zoom -= levels
 
 
+def finest_tiles(readings: DataFrame, zoom: int) -> DataFrame:
+    """Packed tiles of one zoom in ranges of their key: readings cross one exchange, pixels a second one, rasters none."""
+    return pack_tiles(pixel_max(readings, zoom), ranged=["geohash"])
+
+
 def build_tile_table(spark: SparkSession, finest: DataFrame, path: str, max_zoom: int, min_zoom: int = 0) -> None:
-    """Packed tiles of max_zoom and all their ancestors as a new table."""
-    write_tile_table(finest, path)
+    """Tiles of :func:`finest_tiles` and all their ancestors as a new table."""
+    write_tile_table(finest, path, ranged=True)
     roll_up_table(spark, path, max_zoom, min_zoom)
 
 
@@ -139,8 +148,9 @@ def in_intervals(intervals: Sequence[tuple[int, int, int]]) -> Column:
     return any_of(one(*i) for i in intervals)
 
 
-def lookup_tiles(requests: DataFrame, tiles: DataFrame, most: int = INTERVALS) -> DataFrame:
-    """The stored tile of each request (zoom, tile_x, tile_y): geohash and tile, null if there is none.
+def lookup_tiles(requests: DataFrame, tiles: DataFrame, columns: Sequence[str] = ("geohash", "tile"),
+                 most: int = INTERVALS) -> DataFrame:
+    """The stored tile of each request (zoom, tile_x, tile_y): `columns` of it, null if there is none.
 
     The requests' keys become a few intervals, which are all that is read of the
     table; the join then decides.
@@ -148,7 +158,7 @@ def lookup_tiles(requests: DataFrame, tiles: DataFrame, most: int = INTERVALS) -
     keyed = requests.withColumn("code", tile_code(F.col("tile_x"), F.col("tile_y")))
     wanted = keyed.select("zoom", "code").distinct()
     near = tiles.where(in_intervals(covering(wanted.select("zoom", F.col("code").alias("first"), F.col("code").alias("last")), most)))
-    asked = near.select("zoom", "code", "geohash", "tile").join(wanted, ["zoom", "code"], "left_semi")
+    asked = near.select("zoom", "code", *columns).join(wanted, ["zoom", "code"], "left_semi")
     return split_join(keyed, asked, ["zoom", "code"], "left").drop("code")
 
 
