@@ -72,9 +72,12 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 def histograms(counted: DataFrame) -> DataFrame:
     """Adds the shares chars (by class, then other) and common (WORDS, then other words)."""
-    found = counted.withColumn("hits", F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)))
+    found = counted.withColumn("hits", F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))).withColumn(
+        # |the||of||and|: a word is counted by the bytes that taking it out removes, in one short call for each.
+        "marked", F.concat(F.lit("|"), F.array_join("hits", "||"), F.lit("|")))
     n, hits = F.greatest("n_chars", F.lit(1)).cast("double"), F.size("hits")
-    words = [*(hits - F.size(F.array_remove("hits", w)) for w in WORDS), F.col("n_words") - hits]
+    taken = lambda w: F.octet_length("marked") - F.octet_length(F.replace("marked", F.lit(f"|{w}|"), F.lit("")))
+    words = [*(taken(w) / F.lit(float(len(w) + 2)) for w in WORDS), F.col("n_words") - hits]
     share = F.greatest("n_words", F.lit(1)).cast("double")
     return found.select(
         *(c for c in counted.columns if c not in ("text", "classes")),
