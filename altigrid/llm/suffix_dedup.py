@@ -145,7 +145,10 @@ def _resolve(cut: DataFrame) -> DataFrame:
         if held is not None and held[6]:
             yield row(held)
 
-    return cut.repartition("anchor").sortWithinPartitions(*by).mapInArrow(
+    # Segments that repeat another of their batch are decided: they go anywhere, so that a
+    # passage of many documents does not send all its copies to the task of its anchor.
+    dealt = cut.repartition(F.when(F.col("covered"), F.xxhash64("did", "start")).otherwise(F.col("anchor")))
+    return dealt.sortWithinPartitions(*by).mapInArrow(
         judge, "did long, tie long, start long, starts long, anchor long, covered boolean"
     )
 
