@@ -112,4 +112,5 @@ def components(edges: DataFrame) -> DataFrame:
         )
         last, labels = labels, saved(done)
         discard(last)
+    discard(both)
     return labels.select("node", "root")

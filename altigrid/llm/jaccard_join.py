@@ -8,6 +8,11 @@ to `max_depth`. What is then left is compared by brute force, in tiles of
 `bucket_limit` rows, so that no bucket is ever cut or dropped and none is one
 task. The number of runs follows from the target recall.
 
+Near copies choose the same paths, so splitting does not part them, and they
+would meet in every bucket they share. Members of a large bucket whose smallest
+bucket is the same, and smaller than this one, are a family: they meet there
+already, so blocks of one family are not compared with each other again.
+
 In a bucket, sketches (one minimum per hash range) rule out pairs that are
 five standard deviations under the similarity; the sets of the remaining
 documents are then compared exactly. A pair that meets in several buckets
@@ -27,9 +32,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from altigrid.llm.common import components, hold, mix64, saved, small_batches
+from altigrid.llm.common import components, discard, hold, mix64, saved, small_batches
 from altigrid.llm.shingles import forget_words, set_digest, shingle_set
 
 BINS = 128
@@ -87,7 +92,10 @@ def _sets(docs: DataFrame, similarity: float, runs: int) -> DataFrame:
 
 
 def _split(docs: DataFrame, big: DataFrame, similarity: float) -> DataFrame:
-    """Members (bucket, rep) of big buckets to the buckets that they choose inside them."""
+    """Members (bucket, rep) of big buckets to the buckets that they choose inside them, as a written table.
+
+    The list of chosen buckets is written first, so that its size is known when it meets the texts.
+    """
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
@@ -98,8 +106,10 @@ def _split(docs: DataFrame, big: DataFrame, similarity: float) -> DataFrame:
                 reps.append(np.full(len(inner), rep, np.int64))
             yield pa.RecordBatch.from_arrays([np.concatenate(buckets), np.concatenate(reps)], names=["bucket", "rep"])
 
-    own = big.groupBy("rep").agg(F.collect_list("bucket").alias("buckets"))
-    return own.join(docs.withColumnRenamed("doc_id", "rep"), "rep").mapInArrow(choose, "bucket long, rep long").distinct()
+    own = saved(big.groupBy("rep").agg(F.collect_list("bucket").alias("buckets")))
+    inner = saved(own.join(docs.withColumnRenamed("doc_id", "rep"), "rep").mapInArrow(choose, "bucket long, rep long").distinct())
+    discard(own)
+    return inner
 
 
 def _shared(members: DataFrame) -> DataFrame:
@@ -108,13 +118,39 @@ def _shared(members: DataFrame) -> DataFrame:
     return members.join(sizes, "bucket")
 
 
-def _tiles(members: DataFrame, limit: int) -> DataFrame:
-    """Deal members of large buckets to pairs of blocks: (bucket, part_a, part_b, own block)."""
-    blocks = F.ceil(F.col("size") / F.lit(limit)).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep", "bucket"), F.col("blocks")).cast("int"))
-    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "*", F.least("block", "other").alias("part_a"), F.greatest("block", "other").alias("part_b")
-    ).drop("blocks", "other")
+def _families(members: DataFrame, limit: int) -> DataFrame:
+    """Blocks of large buckets: (bucket, first, base, blocks, total, alone).
+
+    Members of one `first` bucket below this one are a family of their own
+    blocks if there are more than `limit` of them; the rest share blocks.
+    """
+    alone = (F.col("first") < F.col("bucket")) & (F.col("n_first") > limit)
+    groups = members.groupBy("bucket", "first").agg(F.count(F.lit(1)).alias("n_first")).withColumn("alone", alone)
+    groups = groups.withColumn("family", F.when(F.col("alone"), F.col("first")).otherwise(F.col("bucket")))
+    blocks = groups.groupBy("bucket", "family").agg(F.ceil(F.sum("n_first") / F.lit(limit)).cast("int").alias("blocks"))
+    bucket = Window.partitionBy("bucket")
+    blocks = blocks.select(
+        "bucket", "family", "blocks", F.sum("blocks").over(bucket).cast("int").alias("total"),
+        (F.sum("blocks").over(bucket.orderBy("family").rowsBetween(Window.unboundedPreceding, 0)) - F.col("blocks")).cast("int").alias("base"),
+    )
+    return groups.join(blocks, ["bucket", "family"]).select("bucket", "first", "base", "blocks", "total", "alone")
+
+
+def _tiles(members: DataFrame, families: DataFrame, limit: int) -> DataFrame:
+    """Deal members to pairs of blocks: (bucket, part_a, part_b, own block); a small bucket is one block."""
+    none = F.lit(0)
+    small = members.where(F.col("size") <= limit).withColumns({"block": none, "part_a": none, "part_b": none})
+    dealt = members.where(F.col("size") > limit).join(families, ["bucket", "first"]).withColumn(
+        "block", (F.col("base") + F.pmod(F.xxhash64("rep", "bucket"), F.col("blocks"))).cast("int")
+    )
+    others = F.filter(
+        F.sequence(none, F.col("total") - 1),
+        lambda i: ~F.col("alone") | (i < F.col("base")) | (i >= F.col("base") + F.col("blocks")),
+    )
+    large = dealt.withColumn("other", F.explode(others)).withColumns(
+        {"part_a": F.least("block", "other"), "part_b": F.greatest("block", "other")}
+    )
+    return small.unionByName(large.select(small.columns))
 
 
 KEY = ("bucket", "part_a", "part_b")
@@ -260,29 +296,43 @@ def jaccard_join(
             F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("buckets").alias("buckets"),
         )
     )
-    texts = known.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    members = saved(_shared(reps.select("rep", F.explode("buckets").alias("bucket")).distinct()))
-    leaves = members
+    levels = [saved(_shared(reps.select("rep", F.explode("buckets").alias("bucket")).distinct()))]
+    leaves = levels[0]
     for _ in range(1, max_depth):
-        big = members.where(F.col("size") > bucket_limit)
+        big = levels[-1].where(F.col("size") > bucket_limit)
         if not big.limit(1).count():
             break
-        members = saved(_shared(_split(texts, big.select("bucket", "rep"), similarity)))
-        leaves = leaves.where(F.col("size") <= bucket_limit).unionByName(members)
+        inner = _split(known, big.select("bucket", "rep"), similarity)
+        levels.append(saved(_shared(inner)))
+        discard(inner)
+        leaves = leaves.where(F.col("size") <= bucket_limit).unionByName(levels[-1])
     lists = leaves.groupBy("rep").agg(F.sort_array(F.collect_list("bucket")).alias("leaves"))
-    facts = reps.dropDuplicates(["rep"]).select("rep", "n", "copies", "sketch").join(lists, "rep")
-    live = saved(_screen(_tiles(leaves.join(facts, "rep"), bucket_limit), similarity))
-    tokens = _tokens(texts.join(live.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    facts = saved(reps.dropDuplicates(["rep"]).select("rep", "n", "copies", "sketch").join(lists, "rep").withColumn("first", F.element_at("leaves", 1)))
+    large = leaves.where(F.col("size") > bucket_limit).join(facts.select("rep", "first"), "rep")
+    families = saved(_families(large, bucket_limit))
+    live = saved(_screen(_tiles(leaves.join(facts, "rep"), families, bucket_limit), similarity))
+    for done in (*levels, facts, families):
+        discard(done)
+    wanted = saved(live.select(F.col("rep").alias("doc_id")).distinct())
+    tokens = _tokens(known.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     found = saved(_links(live.join(tokens, "rep"), similarity))
+    for done in (live, wanted):
+        discard(done)
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = reps.select("digest", "rep", "copies").join(counts, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    placed = sets.where("n > 0").select("doc_id", "n", "digest").join(classes, "digest", "left").select(
+    placed = saved(sets.where("n > 0").select("doc_id", "digest").join(classes, "digest", "left").select(
         "doc_id", F.coalesce("root", "rep").alias("class_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("rep").alias("copy_of"),
-    )
-    alone = sets.where("n = 0").select("doc_id").unionByName(docs.where("doc_id IS NULL").select("doc_id"))
-    return placed.unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("copy_of")))
+    ).unionByName(sets.where("n = 0").select(
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("copy_of"),
+    )))
+    for done in (sets, reps, found, roots):
+        discard(done)
+    nameless = docs.where("doc_id IS NULL")
+    return placed.unionByName(nameless.select(
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("copy_of"),
+    ))
 
 
 def _tokens(texts: DataFrame) -> DataFrame:
