@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -44,6 +45,23 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def renamed(df: DataFrame, *known: str) -> DataFrame:
+    """df with all columns but the known ones under generated names; toDF(*df.columns) undoes it."""
+    return df.toDF(*(c if c in known else f"_column_{i}" for i, c in enumerate(df.columns)))
+
+
+def stored_place(df: DataFrame, *columns: str, name: str) -> DataFrame:
+    """The named columns, and as `name` the row's place in the files that df was read from, in the order they were written.
+
+    Rows that do not come from files have no such order: they get a number of the task's own.
+    """
+    part = F.regexp_extract(F.col("_metadata.file_name"), "part-([0-9]+)", 1).cast("long")
+    try:
+        return df.select(*columns, (F.shiftleft(F.coalesce(part, F.lit(0)), 40) + F.col("_metadata.row_index")).alias(name))
+    except AnalysisException:
+        return df.select(*columns, F.monotonically_increasing_id().alias(name))
+
+
 def discard(df: DataFrame) -> None:
     """Remove the files behind a table that saved() returned."""
     spark = df.sparkSession

@@ -19,7 +19,8 @@ time and meets the documents in a join.
 Null source is a source of its own. Rows with equal or null doc_id are documents
 each. An empty table gives an empty result; weights of sources without documents
 are ignored, sources without a weight (or with one of 0 or null) get the smallest
-weight divided by `period`. `most_sources` bounds nothing any more. Other columns pass through.
+weight divided by `period`. `most_sources` bounds nothing any more. Other columns pass through under any name; columns named
+_slot, _place or _mixed_as are replaced by mix() and kept by in_order().
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from altigrid.llm.common import saved, scratch, wider
+from altigrid.llm.common import renamed, saved, scratch, wider
 
 
 def parts_of(weights: list[float], period: int) -> list[int]:
@@ -136,9 +137,11 @@ def mix(
     period: int = 1000, most_sources: int = 200, seed: int = 0, chunk: int = 1_000_000,
 ) -> DataFrame:
     """docs with _slot (block in the mix), _place (from 0, in the block) and _mixed_as (the source)."""
+    docs = docs.drop("_slot", "_place", "_mixed_as")
+    names, docs = docs.columns, renamed(docs, "doc_id", key)
     sizes = docs.groupBy(key).count().orderBy(F.col("count").desc(), key).collect()  # one row per source
     if not sizes:
-        return docs.withColumns({"_slot": F.lit(0).cast("long"), "_place": F.lit(0), "_mixed_as": F.col(key)})
+        return docs.toDF(*names).withColumns({"_slot": F.lit(0).cast("long"), "_place": F.lit(0), "_mixed_as": F.col(key)})
     counts = {i: r["count"] for i, r in enumerate(sizes)}
     wanted = list(tempered(counts).values()) if weights is None else [weights.get(r[key]) for r in sizes]
     least = Fraction(min((w for w in wanted if w), default=1.0)) / period
@@ -158,9 +161,10 @@ def mix(
         "_block": F.expr(f"(_nth + _before) div {block_docs}"), "_place": (rank % block_docs).cast("int"),
     })
     placed = ranked.join(plan, ["_group", "_block"])
-    return placed.select(*docs.columns, "_slot", "_place", F.col(key).alias("_mixed_as"))
+    return placed.select(*docs.columns, "_slot", "_place", F.col(key).alias("_mixed_as")).toDF(*names, "_slot", "_place", "_mixed_as")
 
 
-def in_order(docs: DataFrame, **options) -> DataFrame:
+def in_order(docs: DataFrame, key: str = "source", **options) -> DataFrame:
     """The rows of docs in the order of the mix: range partitions, sorted inside."""
-    return mix(docs, **options).orderBy("_slot", "_place").select(*docs.columns)
+    own = renamed(docs, "doc_id", key)
+    return mix(own, key=key, **options).orderBy("_slot", "_place").select(*own.columns).toDF(*docs.columns)

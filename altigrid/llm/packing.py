@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from altigrid.llm.common import hold, saved, small_batches, wider
+from altigrid.llm.common import discard, hold, saved, small_batches, wider
 
 CAPACITY = 4096
 END = 1
@@ -116,32 +116,56 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Pieces of at most `capacity` ids: doc_id, piece, start, length, ids_crc32 [, ids], part, nth.
 
-    part and nth number the pieces of a length within the task that made them.
+    part and nth number the pieces of a length within the task that made them. A column
+    `at` of docs comes along, 0 without it.
     """
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, at long, part int, nth long"
     schema += ", ids binary" if with_ids else ""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready, part, seen = chunk_ids(path), TaskContext.get().partitionId(), Counter()
         hold("chunks", ready.clear)
         for batch in small_batches(batches, "text", 1_000_000):
-            out = [[] for _ in range(7 + with_ids)]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ready.of(batch.column("text").to_pylist())):
+            out = [[] for _ in range(8 + with_ids)]
+            for doc_id, at_doc, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "at")), ready.of(batch.column("text").to_pylist())):
                 ids += END.to_bytes(4, "little")
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at:at + 4 * capacity]
                     length = len(own) // 4
-                    row = (doc_id, piece, at // 4, length, zlib.crc32(own), part, seen[length], *([own] * with_ids))
+                    row = (doc_id, piece, at // 4, length, zlib.crc32(own), at_doc, part, seen[length], *([own] * with_ids))
                     seen[length] += 1
                     for column, value in zip(out, row):
                         column.append(value)
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(out, types)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth", "ids"][:len(out)],
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "at", "part", "nth", "ids"][:len(out)],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(read, schema)
+    at = F.col("at") if "at" in docs.columns else F.lit(0).cast("long").alias("at")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", at).mapInArrow(read, schema)
+
+
+def _by_place(pieces: DataFrame, capacity: int) -> DataFrame:
+    """pieces numbered anew in the order of (at, doc_id, piece); at becomes a number of each piece in that order."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seen, rows = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), 0
+        for batch in batches:
+            length = np.asarray(batch.column("length"))
+            order = np.argsort(length, kind="stable")
+            own, n = np.unique(length, return_counts=True)
+            nth = np.empty(len(length), np.int64)
+            nth[order] = np.arange(len(length)) + np.repeat(seen[own] - (np.cumsum(n) - n), n)
+            seen[own] += n
+            at = (part << 40) + rows + np.arange(len(length))
+            rows += len(length)
+            fresh = {"at": pa.array(at, pa.int64()), "part": pa.array(np.full(len(length), part), pa.int32()), "nth": pa.array(nth)}
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays([fresh.get(c, batch.column(c)) for c in names], names=names)
+
+    by = ["at", "doc_id", "piece"]
+    return pieces.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(number, pieces.schema)
 
 
 # A pattern is (lengths with their multiplicity, number of sequences filled so).
@@ -345,9 +369,17 @@ def place(pieces: DataFrame, patterns: list[Pattern]) -> DataFrame:
     return pieces.mapInArrow(seek, schema)
 
 
-def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset [, ids]."""
+def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False, in_order: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset [, ids].
+
+    With in_order, docs have a column `at` (long): pieces of equal length are taken in
+    that order, and sequence ids rise with the first place that a sequence holds. They are
+    then not consecutive. How many sequences there are does not change.
+    """
     pieces = saved(token_pieces(docs, path or vocabulary(), capacity, with_ids))
+    if in_order:
+        read, pieces = pieces, saved(_by_place(pieces, capacity))
+        discard(read)
     per_task = pieces.groupBy("length", "part").agg(F.max("nth").alias("last"))
     before = per_task.select(
         "length", "part",
@@ -358,4 +390,8 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, wit
         counts[row["length"]] = row["count"]
     ranked = pieces.join(before, ["length", "part"]).withColumn("rank", F.col("nth") + F.col("before"))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] * with_ids)]
-    return place(ranked.select(*columns, "rank"), complete_bins(counts, capacity))
+    placed = place(ranked.select(*columns, *(["at"] * in_order), "rank"), complete_bins(counts, capacity))
+    if in_order:  # a sequence has at most `capacity` pieces
+        first = F.min("at").over(W.partitionBy("sequence_id"))
+        placed = placed.withColumn("sequence_id", first).drop("at")
+    return placed

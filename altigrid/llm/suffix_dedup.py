@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from altigrid.llm.anchors import segments, window_hashes
-from altigrid.llm.common import hold, saved, small_batches, wider
+from altigrid.llm.common import hold, renamed, saved, small_batches, wider
 from altigrid.llm.induced_sort import repeated_starts
 
 SPAN = 100
@@ -312,9 +312,9 @@ def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     Documents of which nothing but white space is left go as a whole,
     if they lost anything.
     """
-
-    fresh = cut(docs, span)
+    own = renamed(docs, "doc_id", "text", "n_chars")
+    fresh = cut(own, span)
     left = fresh.where("_removed = 0 OR _new RLIKE '[^\\\\s]'")
     text = F.when(F.col("_removed") > 0, F.col("_new")).otherwise(F.col("text"))
     changed = {"text": text} | ({"n_chars": F.when(F.col("_removed") > 0, F.length("_new").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
-    return left.withColumns(changed).select(*docs.columns)
+    return left.withColumns(changed).select(*own.columns).toDF(*docs.columns)
