@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from altigrid.llm import jaccard_join, mixing, packing, suffix_dedup, toxicity
-from altigrid.llm.common import saved, table
+from altigrid.llm.common import saved, stored_place, table
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, placed in as few sequences as bin completion finds."""
-    return packing.pack(docs)
+    """Pieces of all documents, placed in as few sequences as bin completion finds, numbered in the order of the mix.
+
+    The order is that of the rows in the files of the stage before.
+    """
+    return packing.pack(stored_place(docs, "doc_id", "text", name="at"), in_order=True)
 
 
 STAGES = [
