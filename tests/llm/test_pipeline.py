@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
+from altigrid.llm import mixing
+from altigrid.llm.common import saved
 from altigrid.llm.queries import llm_oracles, llm_queries
 from check_oracles import compare, open_tables
 from tests.conftest import SMALL
@@ -32,3 +34,18 @@ def test_stages_hand_on_documents(spark):
         docs = spark.createDataFrame(rows, start.schema)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
     assert {r.doc_id for r in packed} == {r.doc_id for r in docs.collect()}
+
+
+def test_sequences_follow_the_mix_through_files(spark):
+    """The mix stage's order, written and read again, is the order in which sequences are numbered."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    place = {r.doc_id: (r._slot, r._place) for r in mixing.mix(docs).collect()}
+    mixed = saved(stages["mixing sources to target weights"](spark, docs, SMALL))
+    packed = stages["best-fit packing"](spark, mixed, SMALL).collect()
+    first = {}
+    for r in packed:
+        at = (*place[r.doc_id], r.piece)
+        first[r.sequence_id] = min(first.get(r.sequence_id, at), at)
+    order = [first[s] for s in sorted(first)]
+    assert len(order) > 1 and order == sorted(order)
