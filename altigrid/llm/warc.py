@@ -20,17 +20,17 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
-from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from altigrid.llm.common import small_batches
-from altigrid.llm.html_blocks import blocks
+from altigrid.llm.html_blocks import blocks, decoded as references
 
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
-_LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# No search runs past the next "<", so pages of unclosed tags take linear time.
+_TITLE, _TITLE_END = re.compile(r"<title\b[^<>]*>", re.I), re.compile("</title", re.I)
+_LANGUAGE = re.compile(r"<html\b[^<>]*?(?<![\w-])lang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
+_LINK = re.compile(r"<a\b[^<>]*?(?<![\w-])href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
 RECORD = (
     "warc_type string, record_id string, refers_to string, target_uri string, date string, content_type string, "
@@ -75,7 +75,14 @@ def decoded(body: bytes, content_type: str) -> str:
 
 
 def _line(text: str) -> str:
-    return " ".join(unescape(text).split())
+    return references(text).strip()
+
+
+def _title(page: str) -> list[str]:
+    """The text of the first title that has an end, if there is one."""
+    begin = _TITLE.search(page)
+    end = begin and _TITLE_END.search(page, begin.end())
+    return [page[begin.end():end.start()]] if end else []
 
 
 def record_bytes(kind: str, record_id: str, headers: list[tuple[str, str | None]], content_type: str, block: bytes) -> bytes:
@@ -96,8 +103,8 @@ def derivatives(record_id: str | None, target_uri: str | None, date: str | None,
     block_digest, payload_digest = digest(content), digest(body)
     fields: list[tuple[str, str]] = [("source-record-id", source), ("source-block-digest", block_digest), ("source-payload-digest", payload_digest), ("conversion-id", conversion_id)]
     fields += [("http-status", status)] * bool(status) + [(f"http-header-{k.lower()}", v) for k, v in headers]
-    title, language = _TITLE.search(page), _LANGUAGE.search(page)
-    fields += [(k, _line(m[1])) for k, m in (("title", title), ("language", language)) if m]
+    fields += [("title", _line(t)) for t in _title(page)]
+    fields += [("language", m[1]) for m in [_LANGUAGE.search(page)] if m]
     fields += [("outlink", _line(next(filter(None, m), ""))) for m in _LINK.findall(page)]
     metadata = "".join(f"{k}: {_line(v)}\r\n" for k, v in fields).encode("utf-8", "replace")
     linked = [("WARC-Target-URI", target_uri), ("WARC-Date", date), ("WARC-Refers-To", record_id), ("WARC-Refers-To-Target-URI", target_uri), ("WARC-Refers-To-Date", date)]
