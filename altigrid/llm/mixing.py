@@ -12,14 +12,18 @@ nothing is rounded, no source is pooled, no document is left out or repeated.
 
 Let V be the blocks that the ideal mix has given per unit of weight. Then a source of
 b blocks and weight w has got min(V * w, b), so the slot at V is the sum of these,
-and release and deadline follow by arithmetic. The driver holds one entry per source
-and steps through the slots in order; the plan is written `chunk` slots at a
-time and meets the documents in a join.
+and release and deadline follow by arithmetic. So does the state at any slot t: the blocks
+due by t are done, and of those released before t but due later, those that earliest
+deadline first takes are the best set by deadline of which, for every a, no more than the slots
+from a to t are left over are released at a or later (the slots before t form a matroid). Tasks
+therefore deal `chunk` slots each, from the state at their first one, and the result is that of one pass over
+all slots. The driver holds one entry per source; no step over slots runs there. A task takes, beside its slots,
+time up to the square of the number of sources (1,000: a second; meant for up to some thousands).
 
 Null source is a source of its own. Rows with equal or null doc_id are documents
 each. An empty table gives an empty result; weights of sources without documents
 are ignored, sources without a weight (or with one of 0 or null) get the smallest
-weight divided by `period`. `most_sources` bounds nothing any more. Other columns pass through under any name; columns named
+weight divided by `period`. Other columns pass through under any name; columns named
 _slot, _place or _mixed_as are replaced by mix() and kept by in_order().
 """
 
@@ -27,82 +31,117 @@ from __future__ import annotations
 
 import heapq
 import math
-import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import accumulate, islice
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from altigrid.llm.common import renamed, saved, scratch, wider
-
-
-def parts_of(weights: list[float], period: int) -> list[int]:
-    """Whole parts, at least 1 each, that add up to period (largest remainders)."""
-    spare = period - len(weights)
-    share = np.array(weights, float) / sum(weights) * spare
-    parts = np.floor(share).astype(int)
-    order = np.argsort(-(share - parts), kind="stable")
-    parts[order[:spare - parts.sum()]] += 1
-    return (parts + 1).tolist()
+from altigrid.llm.common import renamed, saved, wider
+
+
+class Ideal:
+    """The ideal mix of sources with given numbers of blocks and weights, by exact arithmetic."""
+
+    def __init__(self, blocks: list[int], weights: list):
+        exact = [Fraction(w) for w in weights]
+        scale = math.lcm(*(w.denominator for w in exact)) if exact else 1
+        self.blocks, self.parts = blocks, [int(w * scale) for w in exact]
+        order = sorted((s for s in range(len(blocks)) if blocks[s]), key=lambda s: Fraction(blocks[s], self.parts[s]))
+        self.ends = [(blocks[s], self.parts[s]) for s in order]  # the order in which sources run out
+        self.done = [0, *accumulate(b for b, _ in self.ends)]
+        self.live = [*accumulate((w for _, w in reversed(self.ends)), initial=0)][::-1]
+        self.at = [0] * len(blocks)  # per source: how many had run out at its last block
+        self.end_slots = [self.done[i] + Fraction(b * self.live[i], w) for i, (b, w) in enumerate(self.ends)]
+        self.total = self.done[-1]
+
+    def slot(self, s: int, j: int) -> tuple[int, int]:
+        """Slot at which the mix begins block j of s, rounded down and up; per source, j must not fall."""
+        w, i = self.parts[s], self.at[s]
+        if i < len(self.ends) and self.ends[i][0] * w <= j * self.ends[i][1]:
+            i = self.at[s] = bisect_right(self.ends, False, lo=i + 1, key=lambda e: e[0] * w > j * e[1])
+            # the first end beyond j: keys are False, then True
+        whole, rest = divmod(j * self.live[i], w)
+        return self.done[i] + whole, self.done[i] + whole + (rest > 0)
+
+    def given(self, t: int) -> list[tuple[int, bool]]:
+        """Per source, the whole blocks that the mix has given at slot t, and whether it is within a block."""
+        i = bisect_right(self.end_slots, t)
+        if i == len(self.ends):
+            return [(b, False) for b in self.blocks]
+        out = []
+        for b, w in zip(self.blocks, self.parts):
+            whole, rest = divmod((t - self.done[i]) * w, self.live[i])
+            out.append((b, False) if whole >= b else (whole, rest > 0))
+        return out
+
+    def state(self, t: int) -> list[int]:
+        """Blocks of each source that earliest deadline first has placed in the slots before t."""
+        given = self.given(t)
+        placed = [whole for whole, _ in given]
+        self.at = [0] * len(self.blocks)
+        begun = []  # (deadline, source, release) of the blocks that t lies in
+        for s, (whole, within) in enumerate(given):
+            if within:
+                release = self.slot(s, whole)[0]
+                begun.append((self.slot(s, whole + 1)[1], s, release))
+        open_slots = t - sum(placed)
+        if not open_slots:
+            return placed
+        # Room for begun blocks that are released at a or later: slots from a on, less the blocks due by t that begin there.
+        releases = sorted({r for _, _, r in begun})
+        room = []
+        for a in releases:
+            before = self.given(a)
+            room.append(t - a - sum(max(0, done - whole - within) for done, (whole, within) in zip(placed, before)))
+        for _, s, r in sorted(begun):
+            last = bisect_right(releases, r)
+            if open_slots and min(room[:last]) > 0:
+                room[:last] = [n - 1 for n in room[:last]]
+                open_slots -= 1
+                placed[s] += 1
+        return placed
+
+    def deal(self, first: int, stop: int) -> Iterator[tuple[int, int]]:
+        """Source and block of the slots from first to stop, by earliest deadline among released blocks."""
+        placed = self.state(first)
+        self.at = [0] * len(self.blocks)
+        waiting = [(self.slot(s, j)[0], s, j) for s, j in enumerate(placed) if j < self.blocks[s]]  # release, source, block
+        heapq.heapify(waiting)
+        ready: list[tuple[int, int, int]] = []
+        for slot in range(first, min(stop, self.total)):
+            while waiting and waiting[0][0] <= slot:
+                _, s, j = heapq.heappop(waiting)
+                heapq.heappush(ready, (self.slot(s, j + 1)[1], s, j))
+            _, s, j = heapq.heappop(ready)
+            yield s, j
+            if j + 1 < self.blocks[s]:
+                heapq.heappush(waiting, (self.slot(s, j + 1)[0], s, j + 1))
 
 
 def slots(blocks: list[int], weights: list) -> Iterator[int]:
-    """Source of each slot until all blocks are placed, by earliest deadline among released blocks."""
-    exact = [Fraction(w) for w in weights]
-    scale = math.lcm(*(w.denominator for w in exact)) if exact else 1
-    parts = [int(w * scale) for w in exact]
-    order = sorted((s for s in range(len(blocks)) if blocks[s]), key=lambda s: Fraction(blocks[s], parts[s]))
-    ends = [(blocks[s], parts[s]) for s in order]  # the order in which sources run out
-    done = [0, *accumulate(b for b, _ in ends)]
-    live = [*accumulate((w for _, w in reversed(ends)), initial=0)][::-1]
-    at = [0] * len(blocks)  # per source: how many others had run out at its last block
-
-    def ideal(s: int, j: int) -> tuple[int, int]:
-        """Slot at which the ideal mix begins block j of s, rounded down and up."""
-        w, i = parts[s], at[s]
-        if i < len(ends) and ends[i][0] * w <= j * ends[i][1]:
-            i = at[s] = bisect_right(ends, False, lo=i + 1, key=lambda e: e[0] * w > j * e[1])
-            # the first end beyond j: keys are False, then True
-        whole, rest = divmod(j * live[i], w)
-        return done[i] + whole, done[i] + whole + (rest > 0)
+    """Source of each slot until all blocks are placed, in one pass."""
+    return (s for s, _ in Ideal(blocks, weights).deal(0, sum(blocks)))
 
-    waiting = [(0, s, 0) for s in range(len(blocks)) if blocks[s]]  # release, source, block
-    heapq.heapify(waiting)
-    ready: list[tuple[int, int, int]] = []
-    for slot in range(sum(blocks)):
-        while waiting and waiting[0][0] <= slot:
-            _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (ideal(s, j + 1)[1], s, j))
-        _, s, j = heapq.heappop(ready)
-        yield s
-        if j + 1 < blocks[s]:
-            heapq.heappush(waiting, (ideal(s, j + 1)[0], s, j + 1))
 
+def _planned(spark: SparkSession, blocks: list[int], weights: list, chunk: int) -> DataFrame:
+    """(_group, _block, _slot) of every block; a task deals a chunk of slots at a time."""
+    n_chunks = -(-sum(blocks) // chunk)
 
-def schedule(parts: list[int]) -> list[int]:
-    """Source of each slot of one period in which each source has as many blocks as its weight."""
-    return list(slots(parts, parts))
-
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ideal = Ideal(blocks, weights)
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                group, block = np.array(list(ideal.deal(k * chunk, (k + 1) * chunk)), np.int64).T
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(group.astype(np.int32)), pa.array(block), pa.array(np.arange(len(group)) + k * chunk)], names=["_group", "_block", "_slot"]
+                )
 
-def _planned(spark: SparkSession, blocks: list[int], weights: list, chunk: int) -> DataFrame:
-    """(_group, _block, _slot) of every block, written chunk by chunk."""
-    path, seen, first = f"{scratch(spark)}/{uuid.uuid4().hex}", np.zeros(len(blocks), np.int64), 0
-    names, stream = ["_group", "_block", "_slot"], slots(blocks, weights)
-    while len(group := np.fromiter(islice(stream, chunk), np.int32)):
-        order = np.argsort(group, kind="stable")
-        own, n = np.unique(group, return_counts=True)
-        block = np.empty(len(group), np.int64)
-        block[order] = np.arange(len(group)) + np.repeat(seen[own] - (np.cumsum(n) - n), n)
-        seen[own] += n
-        columns = [pa.array(group), pa.array(block), pa.array(np.arange(first, first + len(group)))]
-        spark.createDataFrame(pa.Table.from_arrays(columns, names=names)).write.mode("append").parquet(path)
-        first += len(group)
-    return spark.read.schema("_group int, _block long, _slot long").parquet(path)
+    return spark.range(0, n_chunks, 1, n_chunks).mapInArrow(deal, "_group int, _block long, _slot long")
 
 
 def _numbered(docs: DataFrame, seed: int) -> DataFrame:
@@ -134,7 +173,7 @@ def tempered(counts: dict, power: float = 0.7) -> dict:
 
 def mix(
     docs: DataFrame, weights: dict | None = None, key: str = "source", block_docs: int = 16,
-    period: int = 1000, most_sources: int = 200, seed: int = 0, chunk: int = 1_000_000,
+    period: int = 1000, seed: int = 0, chunk: int = 200_000,
 ) -> DataFrame:
     """docs with _slot (block in the mix), _place (from 0, in the block) and _mixed_as (the source)."""
     docs = docs.drop("_slot", "_place", "_mixed_as")
@@ -150,7 +189,6 @@ def mix(
     plan = _planned(spark, [-(-n // block_docs) for n in counts.values()], [w if w else least for w in wanted], chunk)
     index = spark.createDataFrame([(r[key], i) for i, r in enumerate(sizes)], wider(docs.select(key), {"_group": "int"}))
     pairs = index.withColumnRenamed(key, "_name")
-    pairs = F.broadcast(pairs) if len(sizes) <= 100_000 else pairs  # how, not what: more are joined by shuffle
     grouped = docs.join(pairs, docs[key].eqNullSafe(F.col("_name")), "left").drop("_name")
     numbered = saved(_numbered(grouped, seed))
     before = numbered.groupBy("_group", "_part").agg((F.max("_nth") + 1).alias("_n")).select(
