@@ -224,24 +224,32 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
 
 
 def _dominated(small: tuple, large: tuple) -> bool:
-    """Whether the items of `small` can be put into the items of `large` (first fit, decreasing)."""
-    room = sorted((s for s, m in large for _ in range(min(m, 8))), reverse=True)
-    for item in sorted((s for s, m in small for _ in range(min(m, 8))), reverse=True):
-        for k, r in enumerate(room):
-            if r >= item:
-                room[k] -= item
+    """Whether the items of `small` can be put into the items of `large` (best fit, decreasing, by counts)."""
+    room = Counter(dict(large))
+    for x, m in sorted(small, reverse=True):
+        for r in sorted(r for r in room if r >= x and room[r]):
+            fit = r // x
+            full = min(room[r], m // fit)
+            room[r] -= full
+            room[r - fit * x] += full
+            m -= full * fit
+            if m and room[r]:
+                room[r] -= 1
+                room[r - m * x] += 1
+                m = 0
+            if not m:
                 break
-        else:
+        if m:
             return False
     return True
 
 
-def fillings(counts: np.ndarray, room: int, width: int, starts: int = 24) -> list[tuple[int, tuple]]:
+def fillings(counts: np.ndarray, room: int, width: int, starts: int = 24, pairs_each: int = 2) -> list[tuple[int, tuple]]:
     """Undominated fillings of `room` from what counts has: (waste, lengths), least waste first.
 
-    Each starts with one of the largest lengths that fit, alone or with the pair
-    that leaves least waste, and takes the largest that fit from there on, so that
-    nothing more could be added.
+    Each starts with one of the `starts` largest lengths that fit, alone or with one of the
+    `pairs_each` lengths that leave least waste beside it, and takes the largest that fit from
+    there on, so that nothing more could be added. At most `width` are returned.
     """
     there = np.flatnonzero(counts[:room + 1] > 0)
     there = there[there > 0]
@@ -269,7 +277,7 @@ def fillings(counts: np.ndarray, room: int, width: int, starts: int = 24) -> lis
         if len(pairs):
             third = largest[room - a - pairs]
             waste = room - a - pairs - third
-            for k in np.argsort(waste, kind="stable")[:2]:
+            for k in np.argsort(waste, kind="stable")[:pairs_each]:
                 taken = Counter((a, int(pairs[k])))
                 if all(counts[x] >= m for x, m in taken.items()):
                     found.add(grow(taken, room - a - int(pairs[k])))
@@ -285,8 +293,10 @@ def fillings(counts: np.ndarray, room: int, width: int, starts: int = 24) -> lis
 def complete_bins(counts: np.ndarray, capacity: int = CAPACITY, budget: int = 12_000, width: int = 3) -> list[Pattern]:
     """Bin completion: patterns that use each length as often as counts says.
 
-    The search ends at the lower bound, or after `budget` nodes with the best
-    solution so far.
+    The search ends at the lower bound, or after `budget` nodes with the best solution so far (a node of a wider search counts as often as it is wide). A
+    search that ends before that is repeated with four times the starts, pairs and width,
+    and with single as well as most repeats of a filling, until these take in all lengths. Only
+    the lower bound proves a result best: fillings are greedy after their first two lengths.
     """
     counts = np.asarray(counts, np.int64)
     total = int(counts @ np.arange(capacity + 1))
@@ -294,41 +304,46 @@ def complete_bins(counts: np.ndarray, capacity: int = CAPACITY, budget: int = 12
         return []
     bound, best = lower_bound(counts, capacity), best_fit(counts, capacity)
     fewest = sum(n for _, n in best)
-    stack: list[tuple[np.ndarray, tuple | None, int, int]] = [(counts, None, 0, 0)]
-    nodes = 0
-    while stack and fewest > bound and nodes < budget:
-        left, chain, used, waste = stack.pop()
-        nodes += 1
-        allowed = (fewest - 1) * capacity - total
-        if waste > allowed:
-            continue
-        rest = np.flatnonzero(left)
-        if not len(rest) or nodes % 500 == 0:
-            tail = best_fit(left, capacity) if len(rest) else []
-            if (n := used + sum(k for _, k in tail)) < fewest:
-                fewest, best, link = n, list(tail), chain
-                while link is not None:
-                    best.append(link[0])
-                    link = link[1]
-            if not len(rest) or fewest == bound:
+    spent, nodes, wide, n_lengths = 0, 0, 1, int(np.count_nonzero(counts))
+    while fewest > bound and spent < budget:
+        stack: list[tuple[np.ndarray, tuple | None, int, int]] = [(counts, None, 0, 0)]
+        while stack and fewest > bound and spent < budget:
+            left, chain, used, waste = stack.pop()
+            nodes, spent = nodes + 1, spent + wide
+            allowed = (fewest - 1) * capacity - total
+            if waste > allowed:
                 continue
-        largest = int(rest[-1])
-        left[largest] -= 1
-        options = fillings(left, capacity - largest, width)
-        left[largest] += 1
-        for spill, items in reversed(options):
-            pattern = Counter({largest: 1})
-            for x, m in items:
-                pattern[x] += m
-            times = min(int(left[x]) // m for x, m in pattern.items())
-            if spill:
-                times = min(times, max(1, (allowed - waste) // spill))
-            if waste + spill * times > allowed:
-                continue
-            after = left.copy()
-            for x, m in pattern.items():
-                after[x] -= m * times
-            stack.append((after, ((tuple(sorted(pattern.items(), reverse=True)), times), chain), used + times, waste + spill * times))
+            rest = np.flatnonzero(left)
+            if not len(rest) or nodes % 500 == 0:
+                tail = best_fit(left, capacity) if len(rest) else []
+                if (n := used + sum(k for _, k in tail)) < fewest:
+                    fewest, best, link = n, list(tail), chain
+                    while link is not None:
+                        best.append(link[0])
+                        link = link[1]
+                if not len(rest) or fewest == bound:
+                    continue
+            largest = int(rest[-1])
+            left[largest] -= 1
+            options = fillings(left, capacity - largest, width * wide, 24 * wide, 2 * wide)
+            left[largest] += 1
+            for spill, items in reversed(options):
+                pattern = Counter({largest: 1})
+                for x, m in items:
+                    pattern[x] += m
+                most = min(int(left[x]) // m for x, m in pattern.items())
+                if spill:
+                    most = min(most, max(1, (allowed - waste) // spill))
+                for times in sorted({most, 1 if wide > 1 else most}):
+                    if waste + spill * times > allowed:
+                        continue
+                    after = left.copy()
+                    for x, m in pattern.items():
+                        after[x] -= m * times
+                    stack.append((after, ((tuple(sorted(pattern.items(), reverse=True)), times), chain), used + times, waste + spill * times))
+        if wide >= n_lengths:
+            break
+        wide *= 4
     return best
 
 
