@@ -90,7 +90,9 @@ def tiles_in_bbox(requests: DataFrame, tiles: DataFrame) -> DataFrame:
     the blocks of the stored tiles in one equi-join, so that rows follow what is
     stored and not the area. A stored tile stands for one block of each size that
     some request of its zoom has, mostly one or two. The join is an inner one of
-    two shuffled sides: the adaptive planner splits blocks that many requests name.
+    two shuffled sides: the adaptive planner splits blocks that many requests name. The
+    hint is there because the planner takes the blocks to be as small as the requests they
+    are exploded from, and would gather them on the driver for a broadcast.
     """
     needed = box_blocks(requests)
     # A map of at most 20 zooms to at most 20 sizes.
@@ -100,7 +102,7 @@ def tiles_in_bbox(requests: DataFrame, tiles: DataFrame) -> DataFrame:
     placed = tiles.withColumn("_up", F.explode(F.try_element_at(sizes, F.col("zoom"))))
     keys = placed.withColumns({"_bx": shift("tile_x"), "_by": shift("tile_y")})
     inside = F.col("tile_x").between(F.col("_x0"), F.col("_x1")) & F.col("tile_y").between(F.col("_y0"), F.col("_y1"))
-    hits = needed.join(keys, ["zoom", "_up", "_bx", "_by"]).where(inside)
+    hits = needed.hint("merge").join(keys, ["zoom", "_up", "_bx", "_by"]).where(inside)
     return hits.drop("lat_min", "lon_min", "lat_max", "lon_max", "_up", "_bx", "_by", "_x0", "_x1", "_y0", "_y1")
 
 

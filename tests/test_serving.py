@@ -186,3 +186,12 @@ def test_no_nested_loops(spark, inputs, table, plan):
                serving.tile_lookup(inputs.tile_requests(4), table)):
         text = plan(df)
         assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_boxes_are_never_gathered(spark, inputs, table, plan):
+    """Blocks of boxes are many times their requests: both sides of the join are shuffled."""
+    boxes = inputs.viewports().withColumn("zoom", F.lit(3))
+    found = serving.tiles_in_bbox(boxes, table)
+    assert "BroadcastExchange" not in plan(found) and "SortMergeJoin" in plan(found)
+    cover = serving.box_tiles(boxes).join(table, ["zoom", "tile_x", "tile_y"])
+    assert found.count() == cover.count() > 0
