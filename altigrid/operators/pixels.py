@@ -79,14 +79,19 @@ def cell_mean(points: DataFrame, zoom: int) -> DataFrame:
     )
 
 
-def pixels_all_zooms(points: DataFrame, max_zoom: int = MAX_ZOOM, min_zoom: int = 0) -> DataFrame:
+def pixels_all_zooms(points: DataFrame, max_zoom: int = MAX_ZOOM, min_zoom: int = 0,
+                     tasks: int | None = None) -> DataFrame:
     """Highest altitude per pixel at every zoom.
 
     Points are first reduced to the finest pixels; only these fan out, one row
-    per zoom: the cross-check of the roll-ups in ``pyramid``.
+    per zoom: the cross-check of the roll-ups in ``pyramid``. ``tasks``: into how many
+    tasks the finest pixels are dealt before, else the planner's choice.
     """
     up = F.explode(F.sequence(F.lit(0), F.lit(max_zoom - min_zoom))).alias("up")
-    fanned = pixel_max(points, max_zoom).select("gx", "gy", "alt", up)
+    finest = pixel_max(points, max_zoom).select("gx", "gy", "alt")
+    if tasks is not None:
+        finest = finest.repartition(tasks, F.shiftright("gx", 2), F.shiftright("gy", 2))
+    fanned = finest.select("gx", "gy", "alt", up)
     gx, gy = (F.call_function("shiftright", F.col(g), F.col("up")).alias(g) for g in ("gx", "gy"))
     return fanned.groupBy((F.lit(max_zoom) - F.col("up")).alias("zoom"), gx, gy).agg(F.max("alt").alias("alt"))
 

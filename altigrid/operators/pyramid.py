@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BLOCK_LEVELS = 10
+# Finest pixels of a task, in which each becomes a row for every ancestor.
+TASK_PIXELS = 250_000
 # Levels reached directly from the finest pixels; a 16th of them is left above.
 NEAR_LEVELS = 2
 
@@ -36,11 +38,19 @@ def _finish(levels: DataFrame, agg: str) -> DataFrame:
     return levels
 
 
-def _by_block(pixels: DataFrame, levels: int, columns: list[str]) -> DataFrame:
-    """(block, gx, gy, columns): all pixels below one pixel ``levels`` up in one partition."""
+def tasks_for(spark: SparkSession, rows: int) -> int | None:
+    """Tasks that keep each at about TASK_PIXELS of at most ``rows`` pixels; None for few, which the planner may place.
+
+    The planner joins partitions by their bytes, and pixels are so short that tens of millions meet in one.
+    """
+    return max(-(-rows // TASK_PIXELS), spark.sparkContext.defaultParallelism) if rows > TASK_PIXELS else None
+
+
+def by_block(pixels: DataFrame, levels: int, columns: list[str], tasks: int | None = None) -> DataFrame:
+    """(block, gx, gy, columns): all pixels below one pixel ``levels`` up in one partition, of ``tasks``."""
     bx, by = (F.shiftright(g, levels).cast("bigint") for g in ("gx", "gy"))
     block = (F.shiftleft(by, 32) + bx).alias("block")
-    return pixels.select(block, "gx", "gy", *columns).repartition("block")
+    return pixels.select(block, "gx", "gy", *columns).repartition(*[tasks] * (tasks is not None), "block")
 
 
 def _ancestors(blocks: DataFrame, zoom: int, ups: range, rules: dict) -> DataFrame:
@@ -51,23 +61,25 @@ def _ancestors(blocks: DataFrame, zoom: int, ups: range, rules: dict) -> DataFra
     return rolled.select((F.lit(zoom) - F.col("up")).alias("zoom"), "gx", "gy", *rules)
 
 
-def pyramid(pixels: DataFrame, max_zoom: int, min_zoom: int = 0, agg: str = "max") -> DataFrame:
+def pyramid(pixels: DataFrame, max_zoom: int, min_zoom: int = 0, agg: str = "max",
+            tasks: int | None = None) -> DataFrame:
     """All zooms max_zoom..min_zoom, from one row per pixel of ``max_zoom``.
 
     ``agg``: ``max`` of ``alt``; ``mean`` of (total, n), exact at every zoom;
     ``count`` sums ``n``. The finest pixels are shuffled once, by block. In
     place, each then counts towards its next few ancestors, and the few pixels
-    left at the top of those towards all others.
+    left at the top of those towards all others. ``tasks`` (see :func:`tasks_for`) is
+    the number of partitions of that shuffle, else the planner's choice.
     """
     rules = _rules(agg)
     levels = max_zoom - min_zoom
     if levels > BLOCK_LEVELS:
         # A block stays within a million rows: do the finest levels first.
         cut = max_zoom - BLOCK_LEVELS
-        fine = pyramid(pixels, max_zoom, cut, agg)
-        coarse = pyramid(fine.where(F.col("zoom") == cut), cut, min_zoom, agg)
+        fine = pyramid(pixels, max_zoom, cut, agg, tasks)
+        coarse = pyramid(fine.where(F.col("zoom") == cut), cut, min_zoom, agg, tasks)
         return fine.unionByName(coarse.where(F.col("zoom") < cut))
-    blocks = _by_block(pixels, levels, list(rules))
+    blocks = by_block(pixels, levels, list(rules), tasks)
     near = min(levels, NEAR_LEVELS)
     found = [blocks.select(F.lit(max_zoom).alias("zoom"), "gx", "gy", *rules)]
     if near:
@@ -104,14 +116,16 @@ def pyramid_by_level(pixels: DataFrame, max_zoom: int, min_zoom: int = 0,
 
 
 def pyramid_fanout(pixels: DataFrame, max_zoom: int, min_zoom: int = 0,
-                   agg: str = "max") -> DataFrame:
+                   agg: str = "max", tasks: int | None = None) -> DataFrame:
     """The same zooms as :func:`pyramid`, each pixel sent to all its ancestors.
 
-    Rows of every zoom cross one shuffle, combined in each task beforehand.
+    Rows of every zoom cross one shuffle, combined in each task beforehand. With ``tasks``
+    (see :func:`tasks_for`) the pixels are first dealt to so many, near ones together.
     """
     rules = _rules(agg)
+    dealt = pixels if tasks is None else by_block(pixels, NEAR_LEVELS, list(rules), tasks)
     up = F.explode(F.sequence(F.lit(0), F.lit(max_zoom - min_zoom))).alias("up")
-    fanned = pixels.select("gx", "gy", *rules, up)
+    fanned = dealt.select("gx", "gy", *rules, up)
     shifted = [F.call_function("shiftright", F.col(g), F.col("up")).alias(g) for g in ("gx", "gy")]
     rolled = fanned.groupBy((F.lit(max_zoom) - F.col("up")).alias("zoom"), *shifted).agg(
         *[f().alias(c) for c, f in rules.items()])

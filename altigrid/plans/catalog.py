@@ -42,6 +42,11 @@ def _dem(i: Inputs) -> DataFrame:
     return points.dem_bounds(i.dem())
 
 
+def _tasks(i: Inputs, name: str = "lineitem") -> int | None:
+    """Tasks for the pixels of a table's readings, of which there are no more than its rows (counted from file footers)."""
+    return pyramid.tasks_for(i.spark, i.table(name).count())
+
+
 # --- parsing, filters -------------------------------------------------------
 
 @_query
@@ -147,7 +152,7 @@ def odd_gps_bounded(i: Inputs) -> DataFrame:
 @_query
 def zoom_grid(i: Inputs) -> DataFrame:
     """Grid of each zoom beside what the readings fill of it."""
-    filled = pyramid.pyramid(pixels.pixel_max(_dem(i), MAX_ZOOM), MAX_ZOOM)
+    filled = pyramid.pyramid(pixels.pixel_max(_dem(i), MAX_ZOOM), MAX_ZOOM, tasks=_tasks(i))
     per_zoom = filled.groupBy("zoom").agg(F.count(F.lit(1)).alias("n_pixels"))
     return pixels.zoom_grid(i.spark, MAX_ZOOM).join(per_zoom, "zoom", "left")
 
@@ -228,7 +233,7 @@ def cell_mean(i: Inputs) -> DataFrame:
 
 @_query
 def pyramid_max(i: Inputs) -> DataFrame:
-    return pyramid.pyramid(pixels.pixel_max(_dem(i), MAX_ZOOM), MAX_ZOOM)
+    return pyramid.pyramid(pixels.pixel_max(_dem(i), MAX_ZOOM), MAX_ZOOM, tasks=_tasks(i))
 
 
 @_query
@@ -238,17 +243,17 @@ def pyramid_by_level(i: Inputs) -> DataFrame:
 
 @_query
 def pyramid_fanout(i: Inputs) -> DataFrame:
-    return pyramid.pyramid_fanout(pixels.pixel_max(_dem(i), MAX_ZOOM), MAX_ZOOM)
+    return pyramid.pyramid_fanout(pixels.pixel_max(_dem(i), MAX_ZOOM), MAX_ZOOM, tasks=_tasks(i))
 
 
 @_query
 def pixels_all_zooms(i: Inputs) -> DataFrame:
-    return pixels.pixels_all_zooms(_dem(i), MAX_ZOOM)
+    return pixels.pixels_all_zooms(_dem(i), MAX_ZOOM, tasks=_tasks(i))
 
 
 @_query
 def pyramid_mean(i: Inputs) -> DataFrame:
-    return pyramid.pyramid(pixels.cell_mean(_dem(i), MEAN_ZOOM), MEAN_ZOOM, agg="mean")
+    return pyramid.pyramid(pixels.cell_mean(_dem(i), MEAN_ZOOM), MEAN_ZOOM, agg="mean", tasks=_tasks(i))
 
 
 @_query
@@ -259,7 +264,7 @@ def pyramid_mean_of_means(i: Inputs) -> DataFrame:
 # --- tiles, colours ---------------------------------------------------------
 
 def _tile_pyramid(i: Inputs) -> DataFrame:
-    return pyramid.pyramid(pixels.pixel_max(_dem(i), TILE_ZOOM), TILE_ZOOM)
+    return pyramid.pyramid(pixels.pixel_max(_dem(i), TILE_ZOOM), TILE_ZOOM, tasks=_tasks(i))
 
 
 @_query
@@ -287,7 +292,7 @@ def pyramid_size(i: Inputs) -> DataFrame:
 
 
 def _dense_pyramid(i: Inputs) -> DataFrame:
-    return pyramid.pyramid(pixels.pixel_max(points.dem_bounds(i.dense()), MAX_ZOOM), MAX_ZOOM)
+    return pyramid.pyramid(pixels.pixel_max(points.dem_bounds(i.dense()), MAX_ZOOM), MAX_ZOOM, tasks=_tasks(i))
 
 
 @_query
@@ -369,7 +374,8 @@ def stored_tiles_in_boxes(i: Inputs) -> DataFrame:
 def visit_tiles_merged(i: Inputs) -> DataFrame:
     """Visits of even and of odd numbers as two pyramids of count rasters, merged and unpacked."""
     found = points.gps_bounds(i.dense_gps())
-    packed = lambda half: rasters.pack_visits(pyramid.pyramid(gps.gps_pixels(half, MAX_ZOOM), MAX_ZOOM, agg="count"))
+    packed = lambda half: rasters.pack_visits(
+        pyramid.pyramid(gps.gps_pixels(half, MAX_ZOOM), MAX_ZOOM, agg="count", tasks=_tasks(i, "events")))
     merged = rasters.merge_visits(packed(found.where("point_id % 2 = 0")), packed(found.where("point_id % 2 <> 0")))
     return rasters.unpack_visits(merged)
 
@@ -377,7 +383,7 @@ def visit_tiles_merged(i: Inputs) -> DataFrame:
 @_query
 def visit_tile_peaks(i: Inputs) -> DataFrame:
     """Visits of the busiest pixel of each zoom, from rasters."""
-    levels = pyramid.pyramid(gps.gps_pixels(points.gps_bounds(i.dense_gps()), MAX_ZOOM), MAX_ZOOM, agg="count")
+    levels = pyramid.pyramid(gps.gps_pixels(points.gps_bounds(i.dense_gps()), MAX_ZOOM), MAX_ZOOM, agg="count", tasks=_tasks(i, "events"))
     return rasters.visit_peaks(rasters.pack_visits(levels))
 
 
@@ -511,7 +517,7 @@ def points_merge(i: Inputs) -> DataFrame:
 def visit_pyramid(i: Inputs) -> DataFrame:
     """Visits per pixel at all zooms."""
     finest = gps.gps_pixels(points.gps_bounds(i.gps()), MAX_ZOOM)
-    return pyramid.pyramid(finest, MAX_ZOOM, agg="count")
+    return pyramid.pyramid(finest, MAX_ZOOM, agg="count", tasks=_tasks(i, "events"))
 
 
 @_query
@@ -627,7 +633,7 @@ def gps_lon_histogram_auto(i: Inputs) -> DataFrame:
 # --- serving ----------------------------------------------------------------
 
 def _tile_table(i: Inputs) -> DataFrame:
-    levels = pyramid.pyramid(pixels.pixel_max(_dem(i), STORE_ZOOM), STORE_ZOOM)
+    levels = pyramid.pyramid(pixels.pixel_max(_dem(i), STORE_ZOOM), STORE_ZOOM, tasks=_tasks(i))
     return tiles.tile_summary(levels)
 
 

@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_points
 from altigrid.operators import pixels, pyramid
+from tests.conftest import SMALL
 
 Z = 10
 
@@ -80,3 +82,17 @@ def test_pyramid_moves_pixels_once(readings):
     # union reads the latter three times.
     assert text.count("FileScan") == 1 and text.count("+- Exchange") == 2
     assert text.count("ReusedExchange") == 2
+
+
+@pytest.mark.parametrize("name", ["zoom_grid", "pyramid_max", "pyramid_fanout", "pixels_all_zooms", "pyramid_mean"])
+def test_many_pixels_are_dealt_to_tasks_by_their_number(spark, monkeypatch, rows, plan, name):
+    """The planner would join partitions of so few bytes, however many rows each becomes."""
+    query = entry_points.queries()[name]
+    few = query(spark, SMALL)
+    assert "REPARTITION_BY_NUM" not in plan(few)
+    n = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    monkeypatch.setattr(pyramid, "TASK_PIXELS", 500)
+    many = query(spark, SMALL)
+    assert pyramid.tasks_for(spark, 500) is None and pyramid.tasks_for(spark, n) == -(-n // 500) > 10
+    assert f", {-(-n // 500)}), REPARTITION_BY_NUM" in plan(many)
+    assert rows(many, *sorted(many.columns)) == rows(few, *sorted(few.columns))
