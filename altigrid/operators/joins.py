@@ -8,20 +8,21 @@ HOT_ROWS = 2_000_000
 
 
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
-               hot_rows: int = HOT_ROWS) -> DataFrame:
+               hot_rows: int = HOT_ROWS, counts: DataFrame | None = None) -> DataFrame:
     """Equi-join (inner, left or left_anti) of a left side with hot keys.
 
     Keys with more than ``hot_rows`` left rows are cut into pieces of about
     that size by a running number of the row, so that equal rows part too, and
     their right rows repeated once per piece; all other keys join as they are.
     The list of hot keys has at most rows / hot_rows entries; how it is joined is the
-    planner's choice. The right side should hold few rows per key.
+    planner's choice. The right side should hold few rows per key. ``counts``: left rows ``n``
+    of each key, if they are known already.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
+    sizes = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
     hot = (
-        left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
+        sizes.withColumnRenamed("n", "_n").where(F.col("_n") > hot_rows)
         .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces"))
     )
     numbered = left.withColumn("_row", F.monotonically_increasing_id())

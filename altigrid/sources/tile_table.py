@@ -155,11 +155,19 @@ def lookup_tiles(requests: DataFrame, tiles: DataFrame, columns: Sequence[str] =
     The requests' keys become a few intervals, which are all that is read of the
     table; the join then decides.
     """
+    spark = requests.sparkSession
     keyed = requests.withColumn("code", tile_code(F.col("tile_x"), F.col("tile_y")))
-    wanted = keyed.select("zoom", "code").distinct()
+    # One pass over the requests: the distinct keys, their intervals and the hot ones among
+    # them come from the stored counts, whose size the planner knows when they meet the tiles.
+    path = scratch_path(spark, "wanted")
+    counts = keyed.groupBy("zoom", "code").agg(F.count(F.lit(1)).alias("n"))
+    counts.write.parquet(path)
+    drop_at_exit(spark, path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    wanted = counts.select("zoom", "code")
     near = tiles.where(in_intervals(covering(wanted.select("zoom", F.col("code").alias("first"), F.col("code").alias("last")), most)))
     asked = near.select("zoom", "code", *columns).join(wanted, ["zoom", "code"], "left_semi")
-    return split_join(keyed, asked, ["zoom", "code"], "left").drop("code")
+    return split_join(keyed, asked, ["zoom", "code"], "left", counts=counts).drop("code")
 
 
 def tiles_in_boxes(requests: DataFrame, tiles: DataFrame, most: int = INTERVALS) -> DataFrame:

@@ -180,6 +180,19 @@ def test_lookup_reads_few_rasters(spark, first, table):
     assert near.count() * 10 < n
 
 
+def test_lookup_reads_the_requests_twice(spark, table, tmp_path, rows):
+    """Once to count their keys, once to answer them."""
+    path = str(tmp_path / "asked")
+    asked = spark.range(300).select(F.col("id").alias("request_id"), F.lit(2).alias("zoom"), (F.col("id") % 8).cast("int").alias("tile_x"), F.lit(3).alias("tile_y"))
+    asked.write.parquet(path)
+    found = tile_table.lookup_tiles(spark.read.parquet(path), tile_table.read_tile_table(spark, table))
+    plain = asked.join(tile_table.read_tile_table(spark, table), ["zoom", "tile_x", "tile_y"], "left")
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("request_id") and sum("Relation [" in x and "request_id" in x for x in text.splitlines()) == 1
+    assert sum("Relation [" in x and "tile_x" in x and "tile_y" in x and "geohash" not in x for x in text.splitlines()) == 1
+    assert rows(found, "request_id", "geohash") == rows(plain, "request_id", "geohash")
+
+
 def test_intervals_cover_and_are_few(spark):
     rng = random.Random(7)
     rows = [(z, c, c + rng.randrange(5)) for z in (3, 9) for c in (rng.randrange(1 << 2 * z + 1) for _ in range(400))]
