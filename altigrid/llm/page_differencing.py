@@ -3,12 +3,14 @@
 Pages of a host stand in the order of their URL path; each is paired with that
 of its two neighbours that shares the longer start of the path. The lines (text
 blocks) of a pair are aligned by longest common subsequence, and a page's lines
-that the other has too are deleted. What the markup names overrules the pair: lines in
-menus, headers, footers, sidebars, forms, adverts, notices, comments, scripts
-and styles always go, and lines of an <article> or <main> are never taken
-for shared furniture. A pair that shares nearly all lines is a copy and proves nothing.
+that the other has too are shared furniture. Every page is judged so, with an article or
+without. A pair that shares nearly all lines that the markup leaves to it is a copy and proves
+nothing; the other neighbour is asked then.
 
-Where a page has an article, only its lines stay; elsewhere all that are left.
+An exact check by what the markup names follows: lines in menus, headers, footers, sidebars,
+forms, adverts, notices, comments, scripts and styles always go, lines of an <article> or
+<main> stay though the pair shares them. Where a page has an article, only its lines stay;
+elsewhere all that are left.
 
 Neighbours are found by rank in a global order of (host, path), so a large host
 is many tasks, and only line hashes travel; the HTML is read twice and never
@@ -98,7 +100,7 @@ def _common(a: list[int], b: list[int], most_bits: int) -> list[int]:
 
 
 def _lines(pages: DataFrame) -> DataFrame:
-    """(key, host, path, lines, open): hashes of all lines, and whether a line may be deleted as shared."""
+    """(key, host, path, lines, left): hashes of all lines, and whether the markup leaves a line to the pair."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "html"):
@@ -107,10 +109,10 @@ def _lines(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 *(batch.column(c) for c in ("key", "host", "path")),
                 pa.array([[line_hash(b.text) for b in f] for f in found], pa.list_(pa.int64())),
-                pa.array([[id(b) in s and not b.article for b in f] for f, s in zip(found, stay)], pa.list_(pa.bool_())),
-            ], names=["key", "host", "path", "lines", "open"])
+                pa.array([[id(b) in s for b in f] for f, s in zip(found, stay)], pa.list_(pa.bool_())),
+            ], names=["key", "host", "path", "lines", "left"])
 
-    return pages.select("key", "host", "path", "html").mapInArrow(read, "key long, host string, path string, lines array<long>, open array<boolean>")
+    return pages.select("key", "host", "path", "html").mapInArrow(read, "key long, host string, path string, lines array<long>, left array<boolean>")
 
 
 def _ranked(lines: DataFrame) -> DataFrame:
@@ -127,19 +129,19 @@ def _ranked(lines: DataFrame) -> DataFrame:
 
     order = ["host", "path", "key"]
     dealt = lines.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = saved(dealt.mapInArrow(number, "key long, host string, path string, lines array<long>, open array<boolean>, part int, nth long"))
+    numbered = saved(dealt.mapInArrow(number, "key long, host string, path string, lines array<long>, left array<boolean>, part int, nth long"))
     sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row per task
     before = sizes.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     return numbered.join(before, "part").withColumn("rank", F.col("nth") + F.col("before")).drop("part", "nth", "before")
 
 
 def _shared(ranked: DataFrame) -> DataFrame:
-    """(key, gone): hashes of the lines of a page that its nearest neighbour has too, where they may go."""
+    """(key, gone): hashes of the lines of a page, of those left by the markup, that its nearest neighbour has too."""
 
     def beside(step: int, name: str) -> DataFrame:
-        return ranked.select((F.col("rank") + step).alias("rank"), *(F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "lines")))
+        return ranked.select((F.col("rank") + step).alias("rank"), *(F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "lines", "left")))
 
-    paired = ranked.where(F.exists("open", lambda x: x)).join(beside(1, "last"), "rank", "left").join(beside(-1, "next"), "rank", "left")
+    paired = ranked.join(beside(1, "last"), "rank", "left").join(beside(-1, "next"), "rank", "left")
 
     def start(a: str, b: str) -> int:
         n = 0
@@ -151,18 +153,16 @@ def _shared(ranked: DataFrame) -> DataFrame:
         for batch in batches:
             keys, gone = [], []
             for r in batch.to_pylist():
-                near = [(start(r["path"] or "", r[f"{n}_path"] or ""), r[f"{n}_lines"]) for n in ("last", "next")
+                near = [(start(r["path"] or "", r[f"{n}_path"] or ""), r[f"{n}_lines"], r[f"{n}_left"]) for n in ("last", "next")
                         if r[f"{n}_lines"] is not None and r[f"{n}_host"] == r["host"]]
-                if not near:
-                    continue
-                other = max(near, key=lambda x: x[0])[1]
-                both = common_lines(r["lines"], other)
-                if len(both) >= COPY * max(len(r["lines"]), len(other)):
-                    continue
-                out = [r["lines"][k] for k in both if r["open"][k]]
-                if out:
-                    keys.append(r["key"])
-                    gone.append(out)
+                for _, other, left in sorted(near, key=lambda x: -x[0]):
+                    out = [r["lines"][k] for k in common_lines(r["lines"], other) if r["left"][k]]
+                    if out and len(out) >= COPY * max(sum(r["left"]), sum(left)):
+                        continue
+                    if out:
+                        keys.append(r["key"])
+                        gone.append(out)
+                    break
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(gone, pa.list_(pa.int64()))], names=["key", "gone"])
 
     return paired.mapInArrow(compare, "key long, gone array<long>").dropDuplicates(["key"])

@@ -603,6 +603,28 @@ def test_shared_lines_of_neighbours_go(spark):
     assert page_differencing.main_text(df).count() == len(rows) and page_differencing.main_text(df.limit(0)).count() == 0
 
 
+def test_every_page_is_paired_and_the_markup_checks_after(spark, monkeypatch):
+    menu = "<nav>" + "".join(f"<p>menu {k}</p>" for k in range(40)) + "</nav>"
+    furniture = "".join(f"<p>unmarked {k}</p>" for k in range(8))
+    own = lambda name: "".join(f"<p>{name} {k}</p>" for k in range(3))
+    article = lambda name: f"{menu}<article><p>refrain</p>{own(name)}</article>"
+    rows = [
+        (1, "http://a.org/x/1", menu + furniture + own("one")), (2, "http://a.org/x/2", menu + own("two") + furniture),
+        (3, "http://b.org/x/1", article("three")), (4, "http://b.org/x/2", article("four")),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    judged = []
+    shared = page_differencing._shared
+    monkeypatch.setattr(page_differencing, "_shared", lambda ranked: judged.append(found := shared(ranked)) or found)
+    found = {r.page_id: r.text for r in page_differencing.main_text(df).collect()}
+    # Menus do not make a pair a copy; the pair judges articles too, whose lines the check keeps.
+    assert found[1] == "one 0\none 1\none 2" and found[2] == "two 0\ntwo 1\ntwo 2"
+    assert found[3] == "refrain\nthree 0\nthree 1\nthree 2"
+    refrain = [page_differencing.line_hash("refrain")]
+    assert sorted(len(r.gone) for r in judged[0].collect()) == [1, 1, 8, 8]
+    assert sum(r.gone == refrain for r in judged[0].collect()) == 2
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     rng = random.Random(3)
     for _ in range(200):
