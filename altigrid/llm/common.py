@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -76,20 +78,34 @@ def wider(df: DataFrame, columns: dict[str, str]) -> StructType:
     return StructType([*df.schema.fields, *more.fields])
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+
+
+def release() -> None:
+    """Hand back memory that this Python worker has freed: workers outlive their tasks, and it counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 _HELD: dict[str, Callable[[], None]] = {}
 
 
 def hold(name: str, clear: Callable[[], None]) -> None:
     """Tell that this Python worker's memory is for one operator's cache now; others are emptied."""
-    for other in [n for n in _HELD if n != name]:
+    others = [n for n in _HELD if n != name]
+    for other in others:
         _HELD.pop(other)()
+    if others:
+        release()
     _HELD[name] = clear
 
 
 def small_batches(batches, column: str, most: int = 4_000_000):
     """Cut Arrow batches so that the texts of each have about `most` bytes.
 
-    A single longer text is a batch of its own. Nothing is left out.
+    A single longer text is a batch of its own. Nothing is left out. After the last one, freed
+    memory is handed back.
     """
     for batch in batches:
         if batch.num_rows == 0:
@@ -99,6 +115,7 @@ def small_batches(batches, column: str, most: int = 4_000_000):
         cuts = np.flatnonzero(np.diff(bins)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
             yield batch.slice(a, b - a)
+    release()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from altigrid.llm.anchors import segments, window_hashes
-from altigrid.llm.common import hold, renamed, saved, small_batches, wider
+from altigrid.llm.common import hold, release, renamed, saved, small_batches, wider
 from altigrid.llm.induced_sort import repeated_starts
 
 SPAN = 100
@@ -245,6 +245,8 @@ def _sorted_repeats(texts: DataFrame, span: int) -> DataFrame:
                 last = r[0]
         if rows:
             yield shard(rows)
+        rows = []
+        release()
 
     return texts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sort, "did long, tie long, start long, starts long")
 

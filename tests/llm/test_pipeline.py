@@ -1,10 +1,11 @@
 """The pipeline and the registered queries on the smallest tables."""
 
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from altigrid.llm import mixing
+from altigrid.llm import common, mixing
 from altigrid.llm.common import saved
 from altigrid.llm.queries import llm_oracles, llm_queries
 from check_oracles import compare, open_tables
@@ -49,3 +50,18 @@ def test_sequences_follow_the_mix_through_files(spark):
         first[r.sequence_id] = min(first.get(r.sequence_id, at), at)
     order = [first[s] for s in sorted(first)]
     assert len(order) > 1 and order == sorted(order)
+
+
+def test_workers_hand_back_memory(monkeypatch):
+    """After the last batch, and where another operator's cache is emptied."""
+    released = []
+    monkeypatch.setattr(common, "release", lambda: released.append(True))
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * 10, None, "b"]})
+    assert sum(b.num_rows for b in common.small_batches([batch, batch.slice(0, 0)], "text", 5)) == 3 and len(released) == 1
+    monkeypatch.setattr(common, "_HELD", {"first": released.clear})
+    common.hold("first", lambda: None)
+    assert len(released) == 1
+    common.hold("second", lambda: None)
+    assert len(released) == 2 and list(common._HELD) == ["second"]
+    monkeypatch.undo()
+    common.release()
