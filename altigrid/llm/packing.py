@@ -25,6 +25,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,68 +37,143 @@ from altigrid.llm.common import discard, hold, saved, small_batches, wider
 CAPACITY = 4096
 END = 1
 # How the tokenizer's file cuts lower-cased text into words, for Latin-1.
-_PART = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
 _PLAIN = re.compile("[\n\t\r\x20-\x7e\xa1-\xff]*").fullmatch
-_BLANK = re.compile("[\n\t\r]")
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_LOWER = bytes(range(256)).decode("latin-1").lower().encode("latin-1").translate(bytes.maketrans(b"\n\t\r", b"   "))
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[32] = _SPACE
+_KIND[[b for b in range(256) if re.match("[a-zªµºß-öø-ÿ]", chr(b))]] = _LETTER
+_KIND[[b for b in range(256) if re.match("[0-9²³¹¼-¾]", chr(b))]] = _DIGIT
+# Whether a part begins at a byte, by 4 * its kind + the kind before.
+_BEGINS = np.array([k == _SPACE or before != _SPACE and (k != before or k == _DIGIT) for k in range(4) for before in range(4)])
+# The printable character that stands for each byte in the tokenizer's vocabulary.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_BYTE_LEVEL = {b: chr(b if b in _SHOWN else 256 + sum(other not in _SHOWN for other in range(b))) for b in range(256)} | {32: " "}
+BLOCK = 3_000_000  # bytes that are cut into parts at once
 _READY: dict[str, "ChunkIds"] = {}
 
 
+def _begins(data: np.ndarray) -> np.ndarray:
+    """Where parts of lower-cased Latin-1 begin; the first byte is a space.
+
+    A part is what is one word to the tokenizer, with the space before it if there is one: letters, single
+    digits, other marks, English contractions. A space that no word follows is a part of its own.
+    """
+    kind = _KIND[data]
+    begin = np.append(True, _BEGINS[4 * kind[1:] + kind[:-1]])
+    quote = np.flatnonzero(data == ord("'"))
+    quote = quote[kind[quote - 1] != _OTHER]
+    if len(quote):
+        one, two = (np.append(data, [0, 0])[quote + k] for k in (1, 2))
+        pairs = [(one == a) & (two == b) for a, b in (b"re", b"ve", b"ll")]
+        width = np.where(np.isin(one, list(b"stmd")), 2, np.where(np.any(pairs, axis=0), 3, 0))
+        quote, width = quote[width > 0], width[width > 0]
+        begin[quote + 1] = False
+        after = quote + width
+        begin[after[after < len(data)]] = True
+    return np.flatnonzero(begin)
+
+
 class ChunkIds:
-    """Token ids of texts by the tokenizer in `path`, with bounded caches.
+    """Token ids of texts by the tokenizer in `path`, with a bounded cache.
 
-    The tokenizer lower-cases, drops white space and never joins across it, so
-    the ids of a text are those of its chunks in order. Chunks not yet known are
-    cut as the tokenizer cuts them (letters, single digits, other marks, English
-    contractions) and the new parts are encoded together. That holds for texts of
-    printable Latin-1; any other text is encoded whole.
+    The tokenizer lower-cases, drops white space and cuts texts into parts that it encodes one by one. Texts
+    are cut so in blocks, whose distinct parts get their ids from the cache or, new ones together, from the tokenizer's
+    model. That holds for texts of printable Latin-1; any other text is encoded whole. A cache of
+    more than `most` parts keeps those met in most blocks, half as many at most.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.model = Tokenizer(self.tokenizer.model)  # without normalizer and cutting
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
+        self.clear()
 
-    def _ids(self, text: str) -> np.ndarray:
+    def clear(self) -> None:
+        """Part k has ids[bounds[k]:bounds[k + 1]] and was met in met[k] blocks."""
+        self.known: dict[bytes, int] = {b" ": 0}
+        self.ids, self.bounds, self.met = np.zeros(0, "<u4"), np.zeros(2, np.int64), np.zeros(1, np.int64)
+
+    def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
+    def _learn(self, parts: list[bytes]) -> None:
         """Ids of parts that are one word to the tokenizer each, told apart by its ends of words."""
-        ids = self._ids(" ".join(parts))
-        stops = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        shown = b" ".join(p.lstrip(b" ") for p in parts).decode("latin-1")
+        if not shown.isascii():
+            shown = shown.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        ids = np.array(self.model.encode_batch_fast([shown.split(" ")], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(parts):
-            return [self._ids(p).tobytes() for p in parts]
-        raw, stops = ids.tobytes(), stops.tolist()
-        return [raw[a:b] for a, b in zip([0, *stops], stops)]
-
-    def _learn(self, missing: set[str]) -> None:
-        cut = {c: _PART.findall(c) for c in missing}
-        new = list({p for parts in cut.values() for p in parts} - self.parts.keys())
-        if new:
-            self.parts.update(zip(new, self._encode(new)))
-        get = self.parts.__getitem__
-        self.chunks.update((c, get(p[0]) if len(p) == 1 else b"".join(map(get, p))) for c, p in cut.items())
+            each = [self._whole(p.decode("latin-1")) for p in parts]
+            ids, stops = np.concatenate(each), np.cumsum([len(e) for e in each])
+        self.known.update(zip(parts, range(len(self.met), len(self.met) + len(parts))))
+        self.bounds = np.append(self.bounds, len(self.ids) + stops)
+        self.ids = np.append(self.ids, ids)
+        self.met = np.append(self.met, np.zeros(len(parts), np.int64))
+
+    def _shrink(self) -> None:
+        """Keep the parts met in most blocks, those of long ago counting half; those met in one only go."""
+        kept = np.argsort(-self.met[1:], kind="stable")[:self.most // 2] + 1
+        kept = np.append(0, np.sort(kept[self.met[kept] > 1]))
+        names = list(self.known)
+        first, n = self.bounds[kept], np.diff(self.bounds)[kept]
+        self.known = {names[k]: i for i, k in enumerate(kept.tolist())}
+        self.ids, self.bounds, self.met = _runs(self.ids, first, n), np.append(0, np.cumsum(n)), (self.met[kept] + 1) // 2
+
+    def _block(self, data: bytes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a block, and how many of them stand before each of the places, at which parts begin."""
+        begin = _begins(np.frombuffer(data, np.uint8))
+        offsets = np.append(begin, len(data)).astype(np.int32)
+        parts = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        own, text = np.asarray(parts.indices), parts.dictionary.buffers()[2].to_pybytes()
+        stops = np.frombuffer(parts.dictionary.buffers()[1], np.int32, len(parts.dictionary) + 1).tolist()
+        names = [text[a:b] for a, b in zip(stops, stops[1:])]  # to_pylist takes ten times as long
+        at = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = len(self.known) + np.arange(len(new))
+            self._learn([names[k] for k in new.tolist()])
+        self.met[at] += 1
+        first, n = self.bounds[at][own], np.diff(self.bounds)[at][own]
+        before = np.append(0, np.cumsum(n))[np.searchsorted(begin, places)]
+        ids = _runs(self.ids, first, n)
+        if len(self.known) > self.most:
+            self._shrink()
+        return ids, before
 
     def of(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
-        split = [_BLANK.sub(" ", t).lower().split(" ") if _PLAIN(t) and "<|" not in t else None for t in texts]
-        missing = set().union(*(s for s in split if s)) - self.chunks.keys()
-        if missing:
-            self._learn(missing)
-        get = self.chunks.__getitem__
-        out = [self._ids(t).tobytes() if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
-        if len(self.chunks) > self.most:
-            self.chunks = {"": b""}
-        if len(self.parts) > self.most:
-            self.parts = {}
-        return out
-
-    def clear(self) -> None:
-        self.chunks, self.parts = {"": b""}, {}
+        plain = [bool(_PLAIN(t)) and "<|" not in t for t in texts]
+        raws = [t.encode("latin-1") for t, ok in zip(texts, plain) if ok]
+        data = b"".join(b" " + r for r in raws).translate(_LOWER)
+        starts = np.cumsum([0, *(len(r) + 1 for r in raws)])[:-1]
+        blocks, bounds, at, n_ids = [], [], 0, 0
+        while at < len(data):
+            stop = len(data)
+            if at + BLOCK < stop:  # at a space: the last in the block, or else the next one
+                stop = data.rfind(b" ", at + 1, at + BLOCK)
+                stop = stop if stop > 0 else data.find(b" ", at + BLOCK)
+                stop = stop if stop > 0 else len(data)
+            a, b = np.searchsorted(starts, (at, stop))
+            ids, before = self._block(data[at:stop], starts[a:b] - at)
+            blocks.append(ids.tobytes())
+            bounds += (4 * (before + n_ids)).tolist()
+            at, n_ids = stop, n_ids + len(ids)
+        joined = b"".join(blocks)
+        each = (joined[a:b] for a, b in zip(bounds, [*bounds[1:], len(joined)]))
+        return [next(each) if ok else self._whole(t).tobytes() for t, ok in zip(texts, plain)]
+
+
+def _runs(values: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """values[first:first + n] of each run, end to end."""
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(n) else 0
+    return values[np.repeat(first - (ends - n), n) + np.arange(total)]
 
 
 def chunk_ids(path: str) -> ChunkIds:
@@ -125,7 +201,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready, part, seen = chunk_ids(path), TaskContext.get().partitionId(), Counter()
         hold("chunks", ready.clear)
-        for batch in small_batches(batches, "text", 1_000_000):
+        for batch in small_batches(batches, "text", BLOCK):
             out = [[] for _ in range(8 + with_ids)]
             for doc_id, at_doc, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "at")), ready.of(batch.column("text").to_pylist())):
                 ids += END.to_bytes(4, "little")

@@ -375,6 +375,28 @@ def test_chunks_give_the_tokenizer_s_ids():
     assert got == [ids.tokenizer.encode(t or "", add_special_tokens=False).ids for t in odd]
 
 
+def test_parts_cut_in_small_blocks_with_a_full_cache(monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 300)
+    rng = random.Random(3)
+    marks = "abst'mdrevl LLS''  \n\t0123²¼ÀßÿØ×÷ªµº\xad.,;-\"(<|>é"
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(80))) for _ in range(400)]
+    texts += ["don't've'll'LL 'see ''s x'", "a" * 1000, "b" * 290 + " c" * 10 + " " * 700, "", None, "日本 's"]
+    ids = packing.ChunkIds(packing.vocabulary(), most=60)
+    got = [np.frombuffer(b, "<u4").tolist() for b in ids.of(texts)]
+    assert got == [ids.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(ids.known) <= 60
+
+
+def test_common_parts_stay_when_the_cache_is_full(monkeypatch):
+    ids = packing.ChunkIds(packing.vocabulary(), most=50)
+    for k in range(6):
+        ids.of(["the rain, and the sea " + " ".join(chr(97 + k) + chr(97 + i) * 3 for i in range(26))])
+    ids.of([" ".join(f"only{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(26)) + " the rain, and the sea"])
+    monkeypatch.setattr(ids, "_learn", lambda parts: pytest.fail(f"encoded again: {parts}"))
+    got = np.frombuffer(ids.of(["The sea, and the rain"])[0], "<u4").tolist()
+    assert got == ids.tokenizer.encode("The sea, and the rain", add_special_tokens=False).ids
+
+
 def test_pieces_fill_sequences_without_gaps(docs, odd, empty, texts):
     found = packing.pack(docs, capacity=64, with_ids=True).collect()
     tokenizer = packing.chunk_ids(packing.vocabulary()).tokenizer
