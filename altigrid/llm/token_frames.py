@@ -43,13 +43,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from altigrid.llm.common import hold, small_batches
-from altigrid.llm.packing import ChunkIds
+from altigrid.llm.packing import BLOCK, ChunkIds
 
 END = 2
 FRAME_IDS = 32_768
 LARGEST = 4_194_304
 FILE_IDS = 33_554_432
-KNOWN_CHUNKS = 500_000  # texts' chunks whose ids a worker remembers
+KNOWN_PARTS = 500_000  # parts of texts whose ids a worker remembers
 _READY: dict[str, ChunkIds] = {}
 # Fixed values of zstandard's seekable format: skippable frames, footer, flag for checksums.
 INDEX_MAGIC = 0x184D2A50
@@ -77,7 +77,7 @@ def open_store(url: str) -> tuple[fs.FileSystem, str]:
 def _chunk_ids(path: str) -> ChunkIds:
     """One cache for each Python worker and vocabulary."""
     if path not in _READY:
-        _READY[path] = ChunkIds(path, KNOWN_CHUNKS)
+        _READY[path] = ChunkIds(path, KNOWN_PARTS)
     return _READY[path]
 
 
@@ -210,7 +210,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end: int = END, fr
             writer.out.close()
             rows.append((part, len(rows), name, len(writer.lengths), writer.n_ids, writer.n_bytes))
 
-        for batch in small_batches(batches, "text", 1_000_000):
+        for batch in small_batches(batches, "text", BLOCK):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ready.of(batch.column("text").to_pylist())):
                 if writer is not None and writer.n_ids >= file_ids:
                     done()

@@ -290,3 +290,13 @@ def test_a_walk_ends_where_the_bound_certifies_it():
     finally:
         hard_negatives.products = count
     assert sum(seen) <= 2 * hard_negatives.STEP and (group.found == [[100, 101, 102]] * 5).all()
+
+
+def test_writers_keep_common_parts_when_their_cache_is_full(monkeypatch):
+    ids = token_frames._chunk_ids(packing.vocabulary())
+    ids.clear()
+    monkeypatch.setattr(ids, "most", 50)
+    for k in range(6):
+        ids.of(["the rain, and the sea " + " ".join(f"x{chr(97 + k)}{chr(97 + i)}" for i in range(20))])
+    monkeypatch.setattr(ids, "_learn", lambda parts: pytest.fail(f"encoded again: {parts}"))
+    assert ids.of(["The sea, and the rain"]) == [np.array(ids.tokenizer.encode("The sea, and the rain").ids, "<u4").tobytes()]
