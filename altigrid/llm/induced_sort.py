@@ -1,8 +1,8 @@
 """Suffix order and common prefixes of one shard, by induced sorting with queues on disk.
 
 The suffixes that start at a left-most S position are sorted first: their
-substrings are named in order and the string of names is sorted by the same
-method, recursively. From them all L suffixes are induced in ascending order and
+substrings are named in order, and the string of names is sorted by doubling, whole
+arrays at a time. From them all L suffixes are induced in ascending order and
 all S suffixes in descending order. At the first level the queues carry
 (position, common prefix) tuples by leading symbol, whole batches at a time;
 what exceeds the memory limit goes to files, which are removed when read. The common
@@ -20,6 +20,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+LONG = 40  # symbols of a substring that are compared some at a time
+
 
 class DiskQueue:
     """First-in-first-out lists of (position, prefix) by symbol, in memory up to `limit` entries."""
@@ -72,63 +74,88 @@ def classify(s: np.ndarray) -> np.ndarray:
     return np.append(step[following] > 0, True)
 
 
+def _packed(values: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """Each place's next few values as one number of at most 52 bits, zeros beyond the end: (numbers, how many values, bits of one)."""
+    bits = max(1, int(values.max()).bit_length())
+    per = max(1, 52 // bits)
+    padded = np.append(values.astype(np.int64), np.zeros(per, np.int64))
+    out = np.zeros(len(values), np.int64)
+    for k in range(per):
+        out = (out << bits) | padded[k:k + len(values)]
+    return out, per, bits
+
+
+def _refined(group: np.ndarray, key: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sort members of groups (equal numbers, whose slots are `slots`, ascending) by key.
+
+    Returns their order, the first slot of each one's new group, and which new groups have more than one member.
+    """
+    order = np.lexsort((key, group))
+    group, key = group[order], key[order]
+    head = np.append(True, (group[1:] != group[:-1]) | (key[1:] != key[:-1]))
+    first = slots[np.flatnonzero(head)[np.cumsum(head) - 1]]
+    return order, first, ~(head & np.append(head[1:], True))
+
+
 def names(s: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
-    """Ranks of the substrings between left-most S positions, equal for equal ones."""
+    """Ranks of the substrings between left-most S positions, equal for equal ones.
+
+    Substrings are compared some symbols at a time, the next ones only among those equal so far, and what is
+    left of long ones as a whole. None is the beginning of another, as symbols are told apart by their type.
+    """
     code = s.astype(np.int64) * 2 + small
-    wide = 2 if code.max() < 1 << 16 else 8
-    raw = code.astype(f">u{wide}").tobytes()
-    starts = (lms * wide).tolist()
-    ends = (np.append(lms[1:], len(s) - 1) * wide + wide).tolist()
-    parts = [raw[a:b] for a, b in zip(starts, ends)]
-    rank = {p: k for k, p in enumerate(sorted(set(parts)))}
-    return np.fromiter(map(rank.__getitem__, parts), np.int64, len(parts))
+    words, per, bits = _packed(code)
+    lengths = np.append(lms[1:], len(s) - 1) + 1 - lms
+    rank, still, slots, done = np.zeros(len(lms), np.int64), np.arange(len(lms)), np.arange(len(lms)), 0
+    while len(still):
+        if done < LONG:
+            gone = bits * (per - np.minimum(lengths[still] - done, per))
+            key = words[lms[still] + done] >> gone << gone
+            done += per
+        else:
+            parts = [code[a:b].astype(">u8").tobytes() for a, b in zip((lms[still] + done).tolist(), (lms + lengths)[still].tolist())]
+            order = {p: k for k, p in enumerate(sorted(set(parts)))}
+            key = np.fromiter(map(order.__getitem__, parts), np.int64, len(parts))
+            done = len(s)
+        order, first, _ = _refined(rank[still], key, slots)
+        still = still[order]
+        rank[still] = first
+        longer = lengths[still] > done
+        still, slots = still[longer], slots[longer]
+    return rank
 
 
 def _order(s: np.ndarray) -> np.ndarray:
-    """Suffix order of a string of names, by recursive induction on lists."""
-    if len(np.unique(s)) == len(s):
-        return np.argsort(s)
-    small = classify(s)
-    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    seeds = lms[_order(names(s, small, lms))] if len(lms) > 1 else lms
-    symbols, types = s.tolist(), small.tolist()
-    large, less, first = defaultdict(list), defaultdict(list), defaultdict(list)
-    for p in seeds.tolist():
-        first[symbols[p]].append(p)
-    alphabet = np.unique(s).tolist()
-    for c in alphabet:
-        for group in (large[c], first[c]):
-            for p in group:
-                if p and not types[p - 1]:
-                    large[symbols[p - 1]].append(p - 1)
-    less[symbols[-1]].append(len(symbols) - 1)
-    for c in reversed(alphabet):
-        own = less[c]
-        for p in own:
-            if p and types[p - 1]:
-                less[symbols[p - 1]].append(p - 1)
-        for p in reversed(large[c]):
-            if p and types[p - 1]:
-                less[symbols[p - 1]].append(p - 1)
-    out = []
-    for c in alphabet:
-        out += large[c]
-        out += reversed(less[c])
-    return np.array(out, np.int64)
+    """Suffix order of a string of names, by doubling: groups equal in h names are sorted by the group h names on."""
+    order = np.argsort(s)
+    slots = np.arange(len(s))
+    sorted_names = s[order]
+    head = np.append(True, sorted_names[1:] != sorted_names[:-1])
+    rank = np.empty(len(s), np.int64)
+    rank[order] = np.flatnonzero(head)[np.cumsum(head) - 1]
+    slots, h = slots[~(head & np.append(head[1:], True))], 1
+    while len(slots):
+        place = order[slots]
+        by, first, tied = _refined(rank[place], rank[place + h], slots)
+        place = place[by]
+        order[slots] = place
+        rank[place] = first
+        slots, h = slots[tied], 2 * h
+    return order
 
 
 def _prefixes(s: np.ndarray, order: np.ndarray, cap: int) -> np.ndarray:
     """Common prefix of each suffix with the one before it in order, up to cap (first 0)."""
+    words, per, bits = _packed(s)
     out = np.zeros(len(order), np.int32)
     live = np.arange(1, len(order))
-    for k in range(cap):
-        a, b = order[live] + k, order[live - 1] + k
-        same = (np.maximum(a, b) < len(s)) & (s[np.minimum(a, len(s) - 1)] == s[np.minimum(b, len(s) - 1)])
-        live = live[same]
+    for k in range(0, cap, per):  # both are inside s, as they differ where the shorter one ends
+        other = words[order[live] + k] ^ words[order[live - 1] + k]
+        out[live] = k + per - (np.frexp(other.astype(np.float64))[1] + bits - 1) // bits
+        live = live[other == 0]
         if not len(live):
             break
-        out[live] += 1
-    return out
+    return np.minimum(out, cap)
 
 
 class _Inducer:

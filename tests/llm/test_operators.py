@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 import time
 import zlib
 from collections import Counter
@@ -257,6 +258,37 @@ def test_suffix_order_and_prefixes_with_queues_on_disk():
             assert same == c
 
 
+def test_names_and_order_of_long_and_wide_substrings():
+    rng = np.random.default_rng(4)
+    rise = np.repeat(np.arange(1, 300), 2)
+    for _ in range(20):
+        tails = [np.concatenate([rise[:rng.integers(30, len(rise))], rng.integers(1, 4, rng.integers(0, 5)), [1]]) for _ in range(8)]
+        s = np.append(np.concatenate(tails), 0).astype(np.int32)
+        listed = s.tolist()
+        assert induced_sort._order(s).tolist() == sorted(range(len(s)), key=lambda i: listed[i:])
+        small = induced_sort.classify(s)
+        lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+        ends = np.append(lms[1:], len(s) - 1) + 1
+        parts = [list(zip(listed[a:b], small[a:b].tolist())) for a, b in zip(lms.tolist(), ends.tolist())]
+        ranks = induced_sort.names(s, small, lms).tolist()
+        assert all((ranks[i] < ranks[j]) == (parts[i] < parts[j]) for i in range(len(parts)) for j in range(len(parts)))
+
+
+def test_order_of_names_takes_no_loop_over_places():
+    s = np.append(np.tile(np.random.default_rng(5).integers(1, 1000, 200_000), 2), 0)
+    calls = []
+
+    def trace(frame, event, arg):
+        calls.append(event)
+
+    sys.setprofile(trace)
+    try:
+        order = induced_sort._order(s)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 20_000 and np.array_equal(np.sort(order), np.arange(len(s)))
+
+
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(3)
     shared = rng.integers(0, 256, 150).astype(np.uint8)
