@@ -202,7 +202,8 @@ def _apart(docs: DataFrame, judged: DataFrame, span: int) -> DataFrame:
     """judged with the segments of anchors beyond SHARD bytes replaced by their windows, judged again."""
     rest = judged.where("NOT covered")
     size = F.sum(F.col("starts") + (span - 1))
-    hot = rest.groupBy("anchor").agg(size.alias("_size")).where(F.col("_size") > SHARD).select("anchor", F.lit(True).alias("_hot"))
+    # Written, so that the planner knows how few they are and joins them without dealing all segments anew.
+    hot = saved(rest.groupBy("anchor").agg(size.alias("_size")).where(F.col("_size") > SHARD).select("anchor", F.lit(True).alias("_hot")))
     if not hot.limit(1).count():
         return judged
     marked = rest.join(hot, "anchor", "left").select(*judged.columns, "_hot")
